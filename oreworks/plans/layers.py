@@ -1,7 +1,7 @@
 """One function per layer, each driven by a description of the table to build.
 
 Nothing here runs a job for its own information: no previews, no counts but the
-sink's. Quality reports are DataFrames, which cost nothing until someone reads them.
+sink's. Quality reports cost nothing until someone asks for them.
 """
 
 from __future__ import annotations
@@ -41,10 +41,12 @@ class EmptySource(ValueError):
 
 @dataclass(frozen=True)
 class BronzeSpec:
-    """A raw folder to be typed and stored as it is. ``derive`` adds partition columns."""
+    """A raw folder to be typed and stored as it is. ``derive`` adds partition columns;
+    ``keys`` are those that cleaning will make unique."""
 
     table: str
     schema: StructType
+    keys: tuple[str, ...]
     file_format: str = "csv"
     header: bool = True
     strict_header: bool = False
@@ -96,10 +98,11 @@ class GoldSpec:
 
 @dataclass(frozen=True)
 class LayerReport:
-    """What was written, and a quality report of the input or output, not yet run."""
+    """What was written, and how to get a quality report of the rows that were read
+    (silver) or written (bronze, gold)."""
 
     written: Written
-    quality: DataFrame | None = field(default=None, compare=False)
+    quality: Callable[[], DataFrame] = field(compare=False)
 
 
 def ingest_bronze(spark: SparkSession, lake: Lake, spec: BronzeSpec) -> LayerReport:
@@ -119,7 +122,8 @@ def ingest_bronze(spark: SparkSession, lake: Lake, spec: BronzeSpec) -> LayerRep
     if spec.derive:
         rows = rows.transform(spec.derive)
     name = lake.table("bronze", spec.table)
-    return LayerReport(replace_table(rows, name, spec.layout, lake.provider))
+    written = replace_table(rows, name, spec.layout, lake.provider)
+    return LayerReport(written, lambda: quality_report(spark.table(name), spec.keys))
 
 
 def refine_silver(
@@ -158,7 +162,7 @@ def refine_silver(
     checked = sources[0]
     if sample_fraction is not None:
         checked = key_hash_sample(checked, spec.keys, sample_fraction)
-    return LayerReport(written, quality_report(checked, spec.keys, spec.partition))
+    return LayerReport(written, lambda: quality_report(checked, spec.keys, spec.partition))
 
 
 def build_gold(
@@ -180,7 +184,7 @@ def build_gold(
             written = append_table(rows, name, layout=spec.layout)
         else:
             written = replace_table(rows, name, spec.layout, lake.provider)
-    return LayerReport(written, quality_report(spark.table(name), spec.keys))
+    return LayerReport(written, lambda: quality_report(spark.table(name), spec.keys))
 
 
 def _stamp(rows: DataFrame, spec: GoldSpec, as_of: Column | None) -> DataFrame:

@@ -52,19 +52,36 @@ BRONZE = {
         BronzeSpec(
             "order_items",
             schemas.ORDER_ITEMS,
+            keys=("order_id", "product_id"),
             derive=bucket_orders,
             layout=Layout(partition_by=("order_id_bucket",)),
         ),
         BronzeSpec(
-            "customers", schemas.CUSTOMERS, layout=Layout(partition_by=("country", "state"))
+            "customers",
+            schemas.CUSTOMERS,
+            keys=("customer_id",),
+            layout=Layout(partition_by=("country", "state")),
         ),
         BronzeSpec(
             "sellers",
             schemas.SELLERS,
+            keys=("seller_id",),
             layout=Layout(partition_by=("seller_country", "seller_state")),
         ),
-        BronzeSpec("orders", schemas.ORDERS, derive=split_order_date, layout=_BY_MONTH),
-        BronzeSpec("orders_new", schemas.ORDERS_NEW, derive=split_order_date, layout=_BY_MONTH),
+        BronzeSpec(
+            "orders",
+            schemas.ORDERS,
+            keys=("order_id",),
+            derive=split_order_date,
+            layout=_BY_MONTH,
+        ),
+        BronzeSpec(
+            "orders_new",
+            schemas.ORDERS_NEW,
+            keys=("order_id",),
+            derive=split_order_date,
+            layout=_BY_MONTH,
+        ),
     )
 }
 
