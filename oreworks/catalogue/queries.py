@@ -128,7 +128,7 @@ def range_bucket(t: Inputs) -> DataFrame:
 
 @_register
 def filter_not_null(t: Inputs) -> DataFrame:
-    return t.orders().na.drop(subset=["seller_id", "customer_id"])
+    return op.without_nulls(t.orders(), ["seller_id", "customer_id"])
 
 
 @_register

@@ -10,7 +10,6 @@ CARD_DIGITS = r"\d(?=\d{4})"
 CARD_DIGITS_ANY_SEPARATOR = r"\d(?=(?:[ -]?\d){4})"
 ACCOUNT_CHARS = r"(?<=.{3}).(?=.*@)"
 ACCOUNT_HEAD = 3
-LINE_BREAKS = r"[\n\r\u0085\u2028\u2029]"
 
 
 def _col(c: Column | str) -> Column:
@@ -40,9 +39,10 @@ def mask_card_strict(c: Column | str) -> Column:
 def mask_account(c: Column | str) -> Column:
     """Stars between the third character and the last ``@``.
 
-    The pattern looks ahead from every character, which is quadratic in the
-    length of the text, so one-line text is cut by position instead. Only text
-    with line breaks, which the pattern treats line by line, goes through it.
+    The pattern looks ahead from every character, which is quadratic in the length of
+    a line, so plain text is cut by position instead. Text with line breaks, which the
+    pattern treats line by line, or beyond ASCII, where it may look back on half a
+    character, goes through the pattern. All of it stays in generated code.
     """
     text = _col(c)
     last_at = F.length(text) - F.instr(F.reverse(text), "@")
@@ -51,9 +51,12 @@ def mask_account(c: Column | str) -> Column:
         F.repeat(F.lit("*"), last_at - ACCOUNT_HEAD),
         F.substr(text, last_at + 1),
     )
+    plain = (F.octet_length(text) == F.length(text)) & ~(
+        F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))
+    )
     return (
         F.when(~F.contains(text, F.lit("@")), text)
-        .when(text.rlike(LINE_BREAKS), F.regexp_replace(text, ACCOUNT_CHARS, "*"))
+        .when(~plain, F.regexp_replace(text, ACCOUNT_CHARS, "*"))
         .when(last_at > ACCOUNT_HEAD, by_position)
         .otherwise(text)
     )

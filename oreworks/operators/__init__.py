@@ -7,6 +7,7 @@ from oreworks.operators.clean import (
     clean_orders_new,
     clean_sellers,
     reject_counts,
+    without_nulls,
 )
 from oreworks.operators.dedup import dedup_by_key, require_unique_keys
 from oreworks.operators.quality import (
@@ -69,4 +70,5 @@ __all__ = [
     "union_by_name",
     "upsert",
     "value_range_report",
+    "without_nulls",
 ]

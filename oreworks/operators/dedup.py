@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +41,9 @@ def require_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
 
     Runs a job that reads the key columns only and shuffles them pre-counted.
     """
+    known = reduce(lambda rows, k: rows.filter(F.col(k).isNotNull()), keys, df)
     repeated = (
-        df.na.drop(subset=list(keys))
-        .groupBy(*keys)
+        known.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
     )
