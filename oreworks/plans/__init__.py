@@ -9,7 +9,7 @@ from oreworks.plans.layers import (
     ingest_bronze,
     refine_silver,
 )
-from oreworks.plans.tables import BRONZE, GOLD, SILVER, build_lake
+from oreworks.plans.tables import BRONZE, GOLD, SILVER, build_lake, date_dimension
 
 __all__ = [
     "BRONZE",
@@ -21,6 +21,7 @@ __all__ = [
     "SilverSpec",
     "build_gold",
     "build_lake",
+    "date_dimension",
     "ingest_bronze",
     "refine_silver",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ from oreworks.plans.layers import (
     refine_silver,
 )
 from oreworks.sinks.tables import Layout
-from oreworks.sources.calendar import calendar_days
+from oreworks.sources.calendar import FIRST_DAY, LAST_DAY, calendar_days
 
 # Fixed value: keys per raw order item bucket.
 ORDER_BUCKET_WIDTH = 10_000_000
@@ -128,8 +130,16 @@ SILVER = {
 }
 
 
-def _default_calendar(sources: dict, as_of: Column) -> DataFrame:
-    return star.dim_date(calendar_days(SparkSession.active()))
+def date_dimension(first: dt.date = FIRST_DAY, last: dt.date = LAST_DAY) -> GoldSpec:
+    """A calendar of the given days."""
+    return GoldSpec(
+        "dim_date",
+        (),
+        lambda sources, as_of: star.dim_date(calendar_days(SparkSession.active(), first, last)),
+        keys=("date_key",),
+        stamped=False,
+        layout=Layout(cluster_by=("year", "month")),
+    )
 
 
 _BY_PLACE = Layout(cluster_by=("country", "state"))
@@ -152,14 +162,7 @@ GOLD = {
             keys=("seller_key",),
             layout=_BY_PLACE,
         ),
-        GoldSpec(
-            "dim_date",
-            (),
-            _default_calendar,
-            keys=("date_key",),
-            stamped=False,
-            layout=Layout(cluster_by=("year", "month")),
-        ),
+        date_dimension(),
         GoldSpec(
             "fact_orders",
             (("silver", "orders"),),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 FORMATS = ("csv", "parquet", "json")
 
@@ -33,7 +33,7 @@ def read_typed(
     if file_format == "csv":
         reader = reader.option("header", header).option("enforceSchema", not strict_header)
     if corrupt_column and file_format != "parquet":
-        schema = StructType(schema.fields).add(corrupt_column, StringType())
+        schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return reader.schema(schema).load(path)
 
