@@ -55,7 +55,7 @@ _VIEWS = {
         SELECT l_orderkey, min(l_suppkey) AS seller_id FROM lineitem GROUP BY l_orderkey""",
     "raw_orders": f"""
         SELECT md5(CAST(o_orderkey AS varchar)) AS order_id, o_custkey AS customer_id, seller_id,
-          CAST(o_orderdate AS timestamptz) AS order_date, o_totalprice AS order_total_price,
+          CAST(o_orderdate AS timestamp) AS order_date, o_totalprice AS order_total_price,
           o_orderpriority AS payment_method
         FROM orders LEFT JOIN first_seller ON l_orderkey = o_orderkey
         WHERE o_orderdate < TIMESTAMP '{CUT_OVER}'""",
@@ -108,7 +108,7 @@ _VIEWS = {
     "clean_orders_new": """
         SELECT DISTINCT CAST(order_id AS varchar) AS order_id,
           CAST(customer_id AS varchar) AS customer_id, CAST(seller_id AS varchar) AS seller_id,
-          CAST(order_date AS timestamptz) AS order_date, CAST(NULL AS double) AS order_total_price,
+          CAST(order_date AS timestamp) AS order_date, CAST(NULL AS double) AS order_total_price,
           payment_method, 'new_system' AS source_system, 'bronze.orders_new' AS data_source
         FROM raw_orders_new""",
     "unified": """
@@ -353,7 +353,7 @@ _ORACLE = {
           'merged' AS data_source
         FROM (SELECT * FROM raw_orders UNION ALL BY NAME
           SELECT * REPLACE (CAST(order_id AS varchar) AS order_id,
-            CAST(order_date AS timestamptz) AS order_date) FROM raw_orders_new)""",
+            CAST(order_date AS timestamp) AS order_date) FROM raw_orders_new)""",
     "source_distribution": "SELECT source_system, count(*) AS n FROM unified GROUP BY ALL",
     "dim_customers": "SELECT * FROM dim_customers",
     "dim_sellers": """

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from oreworks import functions as fn
 from oreworks import operators as op
@@ -29,10 +30,16 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _register(query: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-    _QUERIES[query.__name__] = lambda spark, sf_dir: query(Inputs(spark, sf_dir))
+    _QUERIES[query.__name__] = lambda spark, sf_dir: _wall_clock(query(Inputs(spark, sf_dir)))
     return query
 
 
+def _wall_clock(df: DataFrame) -> DataFrame:
+    """Times as the session's clock shows them, so that results compare without time zones."""
+    moments = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in moments})
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
@@ -45,7 +52,7 @@ def _at(day: str) -> Column:
 # Raw files
 
 
-def _write_raw(df: DataFrame, path: str, file_format: str = "csv") -> None:
+def write_raw(df: DataFrame, path: str, file_format: str = "csv") -> None:
     writer = df.write.format(file_format)
     if file_format == "csv":
         # Spark's CSV writer would otherwise trim the padded text.
@@ -57,7 +64,7 @@ def _write_raw(df: DataFrame, path: str, file_format: str = "csv") -> None:
 
 def _scan(t: Inputs, file_format: str) -> DataFrame:
     path = scratch_root(t.spark)
-    _write_raw(t.orders(), path, file_format)
+    write_raw(t.orders(), path, file_format)
     return sources.read_typed(t.spark, path, schemas.ORDERS, file_format, strict_header=True)
 
 
@@ -80,7 +87,7 @@ def scan_parquet_typed(t: Inputs) -> DataFrame:
 def source_file_stats(t: Inputs) -> DataFrame:
     root = scratch_root(t.spark)
     for file_format in ("csv", "json", "parquet"):
-        _write_raw(t.orders(), f"{root}/{file_format}", file_format)
+        write_raw(t.orders(), f"{root}/{file_format}", file_format)
     stats = sources.source_file_stats(sources.list_data_files(t.spark, root))
     return stats.select(
         "format",
@@ -108,7 +115,7 @@ def bronze_round_trip(t: Inputs) -> DataFrame:
     lake = scratch_lake(t.spark)
     written = []
     for name, df in t.raw().items():
-        _write_raw(df, lake.raw_path(name))
+        write_raw(df, lake.raw_path(name))
         report = ingest_bronze(t.spark, lake, BRONZE[name])
         written.append((name, report.written.expected, report.written.actual))
     return t.spark.createDataFrame(written, "table string, expected bigint, actual bigint")
@@ -282,7 +289,7 @@ def lake_row_counts(t: Inputs) -> DataFrame:
     """Raw files to star schema, every table of every layer written and counted."""
     lake = scratch_lake(t.spark)
     for name, df in t.raw().items():
-        _write_raw(df, lake.raw_path(name))
+        write_raw(df, lake.raw_path(name))
     build_lake(t.spark, lake, _at(AS_OF))
     tables = {f"bronze.{name}": lake.table("bronze", name) for name in BRONZE}
     silver = sorted({spec.table for spec in SILVER.values()})

@@ -12,7 +12,6 @@ TABLES = (
 
 def duck(sf_dir):
     con = duckdb.connect()
-    con.execute("SET TimeZone='UTC'")
     for table in TABLES:
         path = f"{sf_dir}/{table}.parquet"
         if os.path.exists(path):
@@ -26,14 +25,14 @@ def normal(table):
     rows = list(zip(*[table.column(n).to_pylist() for n in names])) if names else []
     rows.sort(key=lambda r: [(v is None, str(type(v)), str(v)) for v in r])
     types = {
-        n: str(table.schema.field(n).type).replace("large_", "").split("[")[0] for n in names
+        n: str(table.schema.field(n).type).replace("large_", "") for n in names
     }
     return names, types, rows
 
 
 def assert_same(spark_df, con, sql):
     names, types, rows = normal(spark_df.toArrow())
-    want_names, want_types, want_rows = normal(con.execute(sql).to_arrow_table())
+    want_names, want_types, want_rows = normal(con.sql(sql).to_arrow_table())
     assert names == want_names
     assert types == want_types
     assert len(rows) == len(want_rows)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreworks.catalogue.inputs import Inputs
-from oreworks.catalogue.queries import _write_raw
+from oreworks.catalogue.queries import write_raw
 from oreworks.catalogue.scratch import scratch_lake
 from oreworks.plans import (
     BRONZE,
@@ -33,7 +33,7 @@ def moment(day=AS_OF):
 def lake(spark):
     lake = scratch_lake(spark)
     for name, df in Inputs(spark, SF).raw().items():
-        _write_raw(df, lake.raw_path(name))
+        write_raw(df, lake.raw_path(name))
     return lake
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from oreworks.catalogue.inputs import Inputs
-from oreworks.catalogue.queries import _write_raw
+from oreworks.catalogue.queries import write_raw
 from oreworks.lake import Lake
 from oreworks.plans import BRONZE, GOLD, SILVER, build_gold, ingest_bronze, refine_silver
 
@@ -56,7 +56,7 @@ def main(sf_dir: str, out: str, copies: str, threads: str) -> None:
     multiply(spark, sf_dir, f"{out}/given", int(copies))
     lake = Lake(f"{out}/lake")
     for name, df in Inputs(spark, f"{out}/given").raw().items():
-        _write_raw(df, lake.raw_path(name))
+        write_raw(df, lake.raw_path(name))
 
     lake.create_schemas(spark)
     seconds: dict[str, float] = {}
