@@ -46,7 +46,8 @@ def scd1_apply(
         "created_at",
         F.when(matched, now).otherwise(F.col("updated_at")).alias("updated_at"),
     )
-    inserted = scd1_stamp(only_new_keys(batch, dimension, keys), now)
+    incoming = batch.select(*keys, *attributes)
+    inserted = scd1_stamp(only_new_keys(incoming, dimension, keys), now)
     return updated.unionByName(inserted).select(*dimension.columns)
 
 
@@ -84,7 +85,8 @@ def scd2_apply(
         .select(*keys, F.explode(versions).alias("v"))
         .select(*keys, "v.row.*", *[f"v.{h}" for h in HISTORY])
     )
-    inserted = scd2_stamp(only_new_keys(batch, current, keys), now)
+    incoming = batch.select(*keys, *attributes)
+    inserted = scd2_stamp(only_new_keys(incoming, current, keys), now)
     return past.unionByName(updated).unionByName(inserted)
 
 

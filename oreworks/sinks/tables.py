@@ -35,7 +35,8 @@ class RowCountMismatch(RuntimeError):
 class Layout:
     """How rows are spread over files.
 
-    ``partition_by`` makes a directory per value, for columns of few values.
+    ``partition_by`` makes a directory per value, for columns of few values. Empty text
+    comes back from such a column as NULL.
     ``cluster_by`` makes files that each cover a narrow range of the columns, so that
     file statistics skip most of them; right for dates and other columns of many values.
     """
@@ -121,12 +122,17 @@ def upsert_table(
     if in_session_catalog(spark, name):
         merged = upsert(spark.table(name), df, keys)
         return replace_table(merged, name, layout or current_layout(spark, name))
+    merge_into(df, name, keys)
+    rows = spark.table(name).count()
+    return Written(name, rows, rows)
+
+
+def merge_into(df: DataFrame, name: str, keys: Sequence[str]) -> None:
+    """The catalog's own merge: update what has the same key, insert the rest."""
     target = name.split(".")[-1]
     same_key = F.expr(" AND ".join(f"{target}.`{k}` = source.`{k}`" for k in keys))
     merge = df.alias("source").mergeInto(name, same_key)
     merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
-    rows = spark.table(name).count()
-    return Written(name, rows, rows)
 
 
 def in_session_catalog(spark: SparkSession, name: str) -> bool:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from oreworks import sinks
 from oreworks.operators.dedup import DuplicateKeys
 from oreworks.sinks import Layout
-from oreworks.sinks.tables import current_layout
+from oreworks.sinks.tables import current_layout, merge_into
 
 
 @pytest.fixture
@@ -122,9 +122,31 @@ def test_clustered_files_cover_narrow_ranges(spark, schema):
 
 
 def test_rebalanced_partitions_split_the_hot_one(spark, schema):
-    df = spark.range(10).withColumn("p", F.lit("hot"))
-    plan = Layout(partition_by=("p",)).arrange(df)._jdf.queryExecution().executedPlan().toString()
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    """The hot value gets several files; so may others that hash to the same partition."""
+    name = f"{schema}.t"
+    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 20).cast("string"))
+    df = spark.range(0, 300_000, 1, 16).select(hot.alias("p"), F.md5(F.col("id").cast("string")).alias("v"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    try:
+        sinks.replace_table(df, name, Layout(partition_by=("p",)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = (
+        spark.table(name).select("p", "_metadata.file_path").distinct().groupBy("p").count().collect()
+    )
+    counts = {r.p: r["count"] for r in files}
+    assert counts.pop("hot") > 3
+    assert len(counts) == 20 and min(counts.values()) <= 2
+
+
+def test_a_merge_is_resolved_by_names(spark, schema):
+    """Parquet cannot be merged into; that it fails for this reason shows that the
+    condition, with the names of table and source, was understood."""
+    name = f"{schema}.t"
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    sinks.replace_table(df, name)
+    with pytest.raises(Exception, match="(?i)not support"):
+        merge_into(df, name, ["k"])
 
 
 def test_columns_and_files(spark, schema):
