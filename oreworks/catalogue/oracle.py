@@ -316,13 +316,23 @@ _ORACLE = {
     "filter_not_null": """
         SELECT * FROM raw_orders WHERE seller_id IS NOT NULL AND customer_id IS NOT NULL""",
     "dedup_by_key": "SELECT * FROM kept_customers",
-    "dedup_whole_rows": "SELECT DISTINCT order_id, product_id FROM raw_order_items",
+    "dedup_whole_rows": """
+        SELECT order_id, product_id, count(*) AS n_copies FROM raw_order_items GROUP BY ALL""",
     "mask_card": """
         SELECT r.customer_id, card AS masked
         FROM raw_customers r JOIN masks m ON r.customer_id = m.customer_id""",
     "mask_account": """
         SELECT r.customer_id, account AS masked
         FROM raw_customers r JOIN masks m ON r.customer_id = m.customer_id""",
+    "mask_account_in_documents": """
+        SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda line:
+          CASE WHEN strpos(line, '@') = 0 OR length(line) - strpos(reverse(line), '@') <= 3
+            THEN line
+            ELSE left(line, 3)
+              || repeat('*', length(line) - strpos(reverse(line), '@') - 3)
+              || substr(line, length(line) - strpos(reverse(line), '@') + 1) END
+          ), chr(10)) AS masked
+        FROM documents""",
     "clean_order_items": "SELECT * FROM clean_order_items",
     "clean_customers": "SELECT * FROM clean_customers",
     "clean_sellers": "SELECT * FROM clean_sellers",
@@ -429,6 +439,19 @@ _ORACLE = {
     ),
     "clustered_layout": """
         SELECT order_date_key, count(*) AS n FROM fact_orders GROUP BY ALL""",
+    "table_details": """
+        SELECT * FROM (VALUES ('order_id', 'string'), ('customer_id', 'bigint'),
+          ('seller_id', 'bigint'), ('order_date', 'timestamp'), ('order_total_price', 'double'),
+          ('payment_method', 'string'), ('order_year', 'int'), ('order_month', 'int')
+        ) AS columns("column", type)""",
+    "table_file_metrics": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) > 0 AS has_files, count(*) > 0 AS has_bytes"
+        f" FROM {view}"
+        for name, view in _RAW.items()
+    ),
+    "layer_comparison": """
+        SELECT count(*) > 0 AS all_sources_counted, count(*) > 0 AS result_counted,
+          count(*) > 0 AS reduction_fits FROM unified""",
     "scd1_apply": _SCD1,
     "scd2_stamp": """
         SELECT *, DATE '2024-01-01' AS valid_from, CAST(NULL AS date) AS valid_to,
@@ -438,7 +461,5 @@ _ORACLE = {
 
 
 def oracle_sql() -> dict[str, str]:
-    """``table_details``, ``table_file_metrics`` and ``layer_comparison`` are about files
-    and types of this engine, and have no counterpart. Masking of documents is tested
-    against a brute-force mask instead."""
+    """Every query has one. Of what is about this engine's files, it says what must hold."""
     return {name: _sql(body) for name, body in _ORACLE.items()}

@@ -145,7 +145,7 @@ def dedup_by_key(t: Inputs) -> DataFrame:
 
 @_register
 def dedup_whole_rows(t: Inputs) -> DataFrame:
-    return op.dedup_by_key(t.order_items(), ["order_id", "product_id"])
+    return op.dedup_by_key(t.order_items(), ["order_id", "product_id"], copies="n_copies")
 
 
 @_register

@@ -34,7 +34,7 @@ from oreworks.operators.star import (
     fact_sales_summary,
 )
 from oreworks.operators.unify import merge_sources, unify_orders, union_by_name
-from oreworks.operators.upsert import only_new_keys, upsert
+from oreworks.operators.upsert import only_new_keys, upsert, without_keys
 
 __all__ = [
     "clean_customers",
@@ -70,5 +70,6 @@ __all__ = [
     "union_by_name",
     "upsert",
     "value_range_report",
+    "without_keys",
     "without_nulls",
 ]

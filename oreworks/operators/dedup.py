@@ -19,6 +19,7 @@ def dedup_by_key(
     order_by: Sequence[str] = (),
     *,
     keep: str = "first",
+    copies: str | None = None,
 ) -> DataFrame:
     """Keep the first (or last) row of each key by ``order_by``, then by all other
     columns, so the same input always leaves the same rows. NULLs sort first, and
@@ -26,14 +27,17 @@ def dedup_by_key(
 
     An aggregate rather than a window: every task first reduces its own rows to
     one per key, so a key that holds a third of the table is shuffled as one row
-    per task. Only columns that can be compared may be present (no maps).
+    per task. Only columns that can be compared may be present (no maps). ``copies``
+    names a column for the number of rows that each kept row stands for.
     """
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
     rest = [*order_by, *(c for c in df.columns if c not in keys and c not in order_by)]
     if not rest:
-        return df.distinct()
+        return df.groupBy(*keys).agg(*counted) if counted else df.distinct()
     best = F.min if keep == "first" else F.max
-    kept = df.groupBy(*keys).agg(best(F.struct(*rest)).alias("kept"))
-    return kept.select(*[c if c in keys else F.col("kept")[c].alias(c) for c in df.columns])
+    kept = df.groupBy(*keys).agg(best(F.struct(*rest)).alias("kept"), *counted)
+    columns = [c if c in keys else F.col("kept")[c].alias(c) for c in df.columns]
+    return kept.select(*columns, *([copies] if copies else []))
 
 
 def require_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:

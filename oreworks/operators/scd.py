@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.operators.upsert import only_new_keys
+from oreworks.operators.upsert import without_keys
 
 HISTORY = ("valid_from", "valid_to", "is_current")
 AUDIT = ("created_at", "updated_at")
@@ -47,7 +47,7 @@ def scd1_apply(
         F.when(matched, now).otherwise(F.col("updated_at")).alias("updated_at"),
     )
     incoming = batch.select(*keys, *attributes)
-    inserted = scd1_stamp(only_new_keys(incoming, dimension, keys), now)
+    inserted = scd1_stamp(without_keys(incoming, dimension, keys), now)
     return updated.unionByName(inserted).select(*dimension.columns)
 
 
@@ -86,7 +86,7 @@ def scd2_apply(
         .select(*keys, "v.row.*", *[f"v.{h}" for h in HISTORY])
     )
     incoming = batch.select(*keys, *attributes)
-    inserted = scd2_stamp(only_new_keys(incoming, current, keys), now)
+    inserted = scd2_stamp(without_keys(incoming, current, keys), now)
     return past.unionByName(updated).unionByName(inserted)
 
 

@@ -12,14 +12,24 @@ from pyspark.sql import DataFrame
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The table after the merge: rows of ``source``, and of ``target`` where no source
-    row has their key. Keys of ``source`` must be unique (``require_unique_keys``).
+    row has their key. Keys of ``source`` must be unique (``require_unique_keys``)."""
+    return without_keys(target, source, keys).unionByName(source)
 
-    Only the keys of ``source`` are joined. An anti join can broadcast them when they
-    are few, and adaptive execution splits a hot key on the target side when not.
+
+def without_keys(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key is not among those of ``other``, which are mostly unique.
+
+    Only the keys of ``other`` are shuffled, or broadcast when they are few. Both sides
+    reach the join straight from their shuffle, which lets adaptive execution split a
+    key that holds much of ``rows``.
     """
-    return only_new_keys(target, source, keys).unionByName(source)
+    return rows.join(other.select(*keys), list(keys), "left_anti")
 
 
-def only_new_keys(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose key is not among ``known``."""
-    return rows.join(known.select(*keys), list(keys), "left_anti")
+def only_new_keys(batch: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of a batch of unique keys that a table does not hold yet.
+
+    The table may repeat a key any number of times: its keys are made distinct, first
+    within each task, then in the partitions that the join needs anyway.
+    """
+    return without_keys(batch, table.select(*keys).distinct(), keys)

@@ -1,6 +1,11 @@
 """Writing tables, and what is known about them from their files."""
 
-from oreworks.sinks.metrics import layer_comparison, table_columns, table_file_metrics
+from oreworks.sinks.metrics import (
+    layer_comparison,
+    table_columns,
+    table_details,
+    table_file_metrics,
+)
 from oreworks.sinks.tables import (
     Layout,
     MissingTable,
@@ -18,6 +23,7 @@ __all__ = [
     "layer_comparison",
     "replace_table",
     "table_columns",
+    "table_details",
     "table_file_metrics",
     "upsert_table",
 ]

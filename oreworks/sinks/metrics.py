@@ -16,6 +16,14 @@ def table_location(spark: SparkSession, name: str) -> str:
     return details["data_type"]
 
 
+def table_details(spark: SparkSession, name: str) -> DataFrame:
+    """All that the catalog knows: columns, partitioning, location, size. The size is
+    brought up to date first, from the listing and without reading the table; Spark also
+    goes by it when it chooses how to join."""
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
+    return spark.sql(f"DESCRIBE EXTENDED {name}")
+
+
 def table_columns(spark: SparkSession, name: str) -> DataFrame:
     """``column, type`` of a table."""
     described = spark.sql(f"DESCRIBE TABLE {name}")

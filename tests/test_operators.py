@@ -35,6 +35,12 @@ def test_order_decides_then_all_columns(spark):
     assert rows(op.dedup_by_key(df, ["k"], ["o"], keep="last")) == [(1, 9, None)]
 
 
+def test_copies_are_counted(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    assert rows(op.dedup_by_key(df, ["k"], copies="n")) == [(1, "a", 2), (2, "c", 1)]
+    assert rows(op.dedup_by_key(df.select("k"), ["k"], copies="n")) == [(1, 2), (2, 1)]
+
+
 def test_empty_input_stays_empty(spark):
     df = spark.createDataFrame([], "k int, v int")
     assert rows(op.dedup_by_key(df, ["k"])) == []

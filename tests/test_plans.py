@@ -1,7 +1,9 @@
 """What the plans of the registered queries must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from oreworks import operators as op
 from oreworks.catalogue.queries import queries
 
 SF = "/root/testdata/sf0.001"
@@ -53,3 +55,43 @@ def test_only_needed_columns_are_read(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in plan(
         spark, "clean_orders_legacy"
     )
+
+
+LOADED, CHANGED = "2024-01-01", "2024-02-01"
+
+
+def at(day):
+    return F.lit(day).cast("timestamp")
+
+
+@pytest.mark.parametrize(
+    "merge",
+    [
+        lambda table, batch: op.upsert(table, batch, ["k"]),
+        lambda table, batch: op.scd1_apply(op.scd1_stamp(table, at(LOADED)), batch, ["k"], at(CHANGED)),
+        lambda table, batch: op.scd2_apply(op.scd2_stamp(table, at(LOADED)), batch, ["k"], at(CHANGED)),
+    ],
+    ids=["upsert", "scd1", "scd2"],
+)
+def test_a_key_with_a_third_of_a_table_is_split_by_the_join(spark, merge):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        ids = spark.range(0, 300_000, 1, 16)
+        key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+        table = ids.select(key.alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+        batch = ids.filter("id % 10 = 0").select(F.col("id").alias("k"), F.lit("new").alias("v"))
+        merged = merge(table, batch)
+        result = merged.agg(F.max(F.xxhash64(*merged.columns)))
+        result.collect()
+        assert "skew=true" in result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

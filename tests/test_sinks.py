@@ -155,6 +155,8 @@ def test_columns_and_files(spark, schema):
     sinks.replace_table(df, one, Layout(partition_by=("p",)))
     sinks.replace_table(df.filter("id < 10"), two)
     assert values_of(sinks.table_columns(spark, one)) == [("id", "bigint"), ("p", "bigint")]
+    details = {r.col_name: r.data_type for r in sinks.table_details(spark, two).collect()}
+    assert details["Type"] == "EXTERNAL" and "bytes" in details["Statistics"]
     metrics = {r.label: r for r in sinks.table_file_metrics(spark, {"a": [one, two], "b": [two]}).collect()}
     assert metrics["a"].files > metrics["b"].files > 0
     assert metrics["a"].bytes > metrics["b"].bytes > 0
