@@ -57,7 +57,8 @@ class BronzeSpec:
 
 @dataclass(frozen=True)
 class SilverSpec:
-    """A cleaned table. Several ``sources`` are merged, by ``merge``, before cleaning.
+    """A cleaned table. Several ``sources`` are put together by ``merge``, which then also
+    has to shape them: ``not_null``, ``prepare`` and ``transform`` are for a single source.
 
     ``mode`` "append" adds to a table that another source started; ``append_keys``
     then keep a repeated run from adding its rows again.
@@ -77,6 +78,10 @@ class SilverSpec:
     partition: str | None = None
     layout: Layout = Layout()
 
+    def __post_init__(self) -> None:
+        if len(self.sources) > 1 and (self.not_null or self.prepare or self.transform):
+            raise ValueError(f"{self.table}: shape several sources in merge")
+
 
 @dataclass(frozen=True)
 class GoldSpec:
@@ -152,14 +157,15 @@ def refine_silver(
         rows = merge_sources(
             sources, spec.keys, order_by=spec.order_by, merge=spec.merge, drop=spec.drop
         )
-    rows = rows.withColumn("ingested_at", F.current_timestamp() if as_of is None else as_of.cast("timestamp"))
+    now = F.current_timestamp() if as_of is None else as_of.cast("timestamp")
+    rows = rows.withColumn("ingested_at", now)
 
     name = lake.table("silver", spec.table)
     if spec.mode == "append":
         written = append_table(rows, name, spec.append_keys, spec.layout)
     else:
         written = replace_table(rows, name, spec.layout, lake.provider)
-    checked = sources[0]
+    checked = sources[0] if len(sources) == 1 else spec.merge(sources)
     if sample_fraction is not None:
         checked = key_hash_sample(checked, spec.keys, sample_fraction)
     return LayerReport(written, lambda: quality_report(checked, spec.keys, spec.partition))
@@ -177,7 +183,7 @@ def build_gold(
 
     name = lake.table("gold", spec.table)
     if spec.mode == "merge":
-        written = _merge_gold(spark, rows, name, spec, as_of)
+        written = _merge_gold(rows, name, spec, as_of, lake.provider)
     else:
         rows = _stamp(rows, spec, as_of)
         if spec.mode == "append":
@@ -194,8 +200,9 @@ def _stamp(rows: DataFrame, spec: GoldSpec, as_of: Column | None) -> DataFrame:
 
 
 def _merge_gold(
-    spark: SparkSession, rows: DataFrame, name: str, spec: GoldSpec, as_of: Column | None
+    rows: DataFrame, name: str, spec: GoldSpec, as_of: Column | None, provider: str
 ) -> Written:
+    spark = rows.sparkSession
     if spec.scd_type == 1 and not spec.stamped:
         return upsert_table(rows, name, spec.keys, spec.layout)
     if not spark.catalog.tableExists(name):
@@ -204,4 +211,4 @@ def _merge_gold(
     apply = scd2_apply if spec.scd_type == 2 else scd1_apply
     merged = apply(spark.table(name), rows, spec.keys, as_of)
     layout = spec.layout if spec.layout != Layout() else current_layout(spark, name)
-    return replace_table(merged, name, layout)
+    return replace_table(merged, name, layout, provider)

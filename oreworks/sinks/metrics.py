@@ -58,9 +58,8 @@ def layer_comparison(spark: SparkSession, before: list[str], after: list[str]) -
     def of(label: str, metric: str):
         return F.coalesce(F.max(F.when(F.col("label") == label, F.col(metric))), F.lit(0))
 
-    row = metrics.agg(
-        *[of(label, m).alias(f"{m}_{label}") for label in ("before", "after") for m in ("files", "bytes")]
-    )
+    wanted = [(m, label) for label in ("before", "after") for m in ("files", "bytes")]
+    row = metrics.agg(*[of(label, m).alias(f"{m}_{label}") for m, label in wanted])
     saved = (F.col("bytes_before") - F.col("bytes_after")) * 100.0
     return row.withColumn(
         "size_reduction_pct",

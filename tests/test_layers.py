@@ -127,11 +127,17 @@ def test_sources_merged_in_one_step(spark, lake, built):
         SILVER["orders"],
         table="all_orders",
         sources=("orders", "orders_new"),
+        prepare=None,
+        transform=None,
         merge=lambda dfs: dfs[0].unionByName(
             dfs[1].withColumns({c: F.col(c).cast("string") for c in ("order_id",)}), True
         ).drop("order_date"),
     )
-    refine_silver(spark, lake, spec, moment())
+    report = refine_silver(spark, lake, spec, moment())
+    total = report.quality().filter("metric = 'total_rows'").first().value
+    assert total == sum(spark.table(lake.table("bronze", s)).count() for s in spec.sources)
+    with pytest.raises(ValueError):
+        replace(spec, not_null=("order_id",))
     merged = spark.table(lake.table("silver", "all_orders"))
     assert merged.select("data_source").distinct().first()[0] == "merged"
     assert merged.count() == spark.table(lake.table("silver", "orders")).count()
@@ -186,4 +192,5 @@ def test_fact_merge_and_append(spark, lake, built):
 def test_empty_raw_folder(spark, lake, tmp_path):
     (tmp_path / "notes.txt").write_text("nothing")
     with pytest.raises(EmptySource):
-        ingest_bronze(spark, replace(lake, roots={"raw": str(tmp_path.parent)}, raw_folders={"orders": tmp_path.name}), BRONZE["orders"])
+        elsewhere = {"roots": {"raw": str(tmp_path.parent)}, "raw_folders": {"orders": tmp_path.name}}
+        ingest_bronze(spark, replace(lake, **elsewhere), BRONZE["orders"])

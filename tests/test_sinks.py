@@ -24,7 +24,9 @@ def test_replace_changes_rows_schema_and_partitions(spark, schema):
     name = f"{schema}.t"
     done = sinks.replace_table(spark.createDataFrame([(1, "a")], "k int, v string"), name)
     assert (done.expected, done.actual) == (1, 1)
-    again = spark.createDataFrame([("007", 1.5, None), ("8", None, "x")], "p string, d double, q string")
+    again = spark.createDataFrame(
+        [("007", 1.5, None), ("8", None, "x")], "p string, d double, q string"
+    )
     sinks.replace_table(again, name, Layout(partition_by=("p", "q")))
     assert values(spark, name, "p", "d", "q") == [("007", 1.5, None), ("8", None, "x")]
     assert dict(spark.table(name).dtypes) == {"d": "double", "p": "string", "q": "string"}
@@ -43,7 +45,9 @@ def test_failed_write_leaves_the_table(spark, schema):
     name = f"{schema}.t"
     sinks.replace_table(spark.range(5).toDF("k"), name)
     bad = spark.range(5).select(
-        F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("stop")).cast("bigint")).alias("k")
+        F.when(F.col("id") < 3, F.col("id"))
+        .otherwise(F.raise_error(F.lit("stop")).cast("bigint"))
+        .alias("k")
     )
     with pytest.raises(Exception, match="stop"):
         sinks.replace_table(bad, name)
@@ -125,7 +129,8 @@ def test_rebalanced_partitions_split_the_hot_one(spark, schema):
     """The hot value gets several files; so may others that hash to the same partition."""
     name = f"{schema}.t"
     hot = F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 20).cast("string"))
-    df = spark.range(0, 300_000, 1, 16).select(hot.alias("p"), F.md5(F.col("id").cast("string")).alias("v"))
+    text = F.md5(F.col("id").cast("string"))
+    df = spark.range(0, 300_000, 1, 16).select(hot.alias("p"), text.alias("v"))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
     try:
         sinks.replace_table(df, name, Layout(partition_by=("p",)))
@@ -157,7 +162,8 @@ def test_columns_and_files(spark, schema):
     assert values_of(sinks.table_columns(spark, one)) == [("id", "bigint"), ("p", "bigint")]
     details = {r.col_name: r.data_type for r in sinks.table_details(spark, two).collect()}
     assert details["Type"] == "EXTERNAL" and "bytes" in details["Statistics"]
-    metrics = {r.label: r for r in sinks.table_file_metrics(spark, {"a": [one, two], "b": [two]}).collect()}
+    found = sinks.table_file_metrics(spark, {"a": [one, two], "b": [two]})
+    metrics = {r.label: r for r in found.collect()}
     assert metrics["a"].files > metrics["b"].files > 0
     assert metrics["a"].bytes > metrics["b"].bytes > 0
     row = sinks.layer_comparison(spark, [one, two], [two]).first()
