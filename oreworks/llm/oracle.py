@@ -74,5 +74,37 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CAST(n_stop_words AS BIGINT) AS n_stop_words, base_failed, failed_rules,
   NOT base_failed AND failed_rules = '' AS kept
 FROM judged
+""",
+    "op3_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents
+), totals AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number
+  FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, CASE number % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM totals
+), room AS (
+  SELECT *,
+    CAST(sum(source_size) OVER () AS BIGINT) AS words, CAST(sum(weight) OVER () AS BIGINT) AS weights,
+    CAST(coalesce(sum(source_size) OVER w, 0) AS BIGINT) AS full_words,
+    CAST(coalesce(sum(weight) OVER w, 0) AS BIGINT) AS full_weights
+  FROM weighed
+  WINDOW w AS (ORDER BY source_size / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), levels AS (
+  SELECT *, max((1.5::DOUBLE * words - 2 * full_words) / (weights - full_weights)) OVER () AS level FROM room
+), targets AS (
+  SELECT source, source_size, least(2 * source_size, weight * level) AS target FROM levels
+), placed AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+    CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(CAST(d.doc_id AS VARCHAR)), d.doc_id, d.size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, CAST(target AS DOUBLE) AS target,
+  CAST(greatest(least(start + size, CAST(floor(target) AS BIGINT)) - start, 0)
+    + greatest(least(start + size, CAST(floor(target) AS BIGINT) - source_size) - start, 0) AS BIGINT) AS taken
+FROM placed
 """,
 }

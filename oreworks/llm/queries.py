@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreworks.llm import chat_format, language_id, oracle, quality_rules, token_counts
+from oreworks.llm import (
+    chat_format,
+    language_id,
+    license_scan,
+    mixing,
+    oracle,
+    quality_rules,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +40,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan(read(spark, sf_dir, "documents")))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = "</s>[INST] ok [/INST]"
@@ -49,7 +66,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_token_counts, op2_language_id, op8_chat_format, op9_quality_rules]
+    found = [
+        op1_token_counts,
+        op2_language_id,
+        op3_mixing,
+        op6_license_scan,
+        op8_chat_format,
+        op9_quality_rules,
+    ]
     return {query.__name__: query for query in found}
 
 
