@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from oreworks.llm import (
     chat_format,
+    decontamination,
     language_id,
     license_scan,
     mixing,
@@ -49,6 +50,11 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.scan(read(spark, sf_dir, "documents")))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return decontamination.find_items(docs, items)
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = "</s>[INST] ok [/INST]"
@@ -71,6 +77,7 @@ def queries() -> dict[str, Query]:
         op2_language_id,
         op3_mixing,
         op6_license_scan,
+        op7_decontamination,
         op8_chat_format,
         op9_quality_rules,
     ]

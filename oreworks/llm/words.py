@@ -147,13 +147,20 @@ def batched(
         yield made()
 
 
+def hashed_batches(
+    column: pa.Array | pa.ChunkedArray, inside: np.ndarray = BLANK_SEPARATED
+) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Several texts at once: their numbers, where each one's words end, and all word hashes."""
+    for numbers, ends, data in batched(text_bytes(column)):
+        starts, _, hashes = hash_words(data, inside)
+        yield numbers, np.searchsorted(starts, ends), hashes
+
+
 def hashed_texts(
     column: pa.Array | pa.ChunkedArray, inside: np.ndarray = BLANK_SEPARATED
 ) -> Iterator[tuple[int, np.ndarray]]:
     """Number and word hashes of each text, in order."""
-    for numbers, ends, data in batched(text_bytes(column)):
-        starts, _, hashes = hash_words(data, inside)
-        cuts = np.searchsorted(starts, ends)
+    for numbers, cuts, hashes in hashed_batches(column, inside):
         at = 0
         for number, cut in zip(numbers, cuts):
             yield number, hashes[at:cut]
