@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from oreworks.llm import (
     chat_format,
     decontamination,
+    jaccard_join,
     language_id,
     license_scan,
     mixing,
@@ -71,6 +72,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_token_counts,
@@ -80,6 +85,7 @@ def queries() -> dict[str, Query]:
         op7_decontamination,
         op8_chat_format,
         op9_quality_rules,
+        op10_jaccard_join,
     ]
     return {query.__name__: query for query in found}
 
