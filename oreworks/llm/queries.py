@@ -14,6 +14,7 @@ from oreworks.llm import (
     jaccard_join,
     language_id,
     license_scan,
+    lm_scoring,
     mixing,
     oracle,
     quality_rules,
@@ -47,6 +48,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read(spark, sf_dir, "documents"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.scan(read(spark, sf_dir, "documents")))
 
@@ -81,6 +86,7 @@ def queries() -> dict[str, Query]:
         op1_token_counts,
         op2_language_id,
         op3_mixing,
+        op4_lm_scoring,
         op6_license_scan,
         op7_decontamination,
         op8_chat_format,
