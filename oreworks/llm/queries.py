@@ -18,6 +18,7 @@ from oreworks.llm import (
     mixing,
     oracle,
     quality_rules,
+    substring_dedup,
     token_counts,
 )
 
@@ -52,6 +53,11 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.find_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "first_word", "n_words", F.col("kept").alias("kept_doc_id"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.scan(read(spark, sf_dir, "documents")))
 
@@ -87,6 +93,7 @@ def queries() -> dict[str, Query]:
         op2_language_id,
         op3_mixing,
         op4_lm_scoring,
+        op5_substring_dedup,
         op6_license_scan,
         op7_decontamination,
         op8_chat_format,
