@@ -28,12 +28,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def _signature(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-    )
+def _settled(edges: DataFrame) -> bool:
+    """Is every node tied to one root, and no root to another?"""
+    roots = edges.select(F.col("b").alias("a"), F.lit(1).alias("n")).distinct()
+    ties = edges.select("a", F.lit(1).alias("n")).union(roots)
+    return ties.groupBy("a").agg(F.sum("n").alias("n")).where("n > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -42,10 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
     Nodes without links are left out, as are links of a node with itself and links with a
     null. Every step reduces by key before it shuffles, and is cut off from the one before.
     """
-    now = cut(edges.select("a", "b").where("a <> b").distinct())
-    before = None
-    while (found := _signature(now)) != before:
-        before = found
+    now = cut(_star(_star(edges.select("a", "b").where("a <> b").distinct(), True), False))
+    while not _settled(now):
         now = cut(_star(_star(now, True), False))
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

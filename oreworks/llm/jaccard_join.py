@@ -26,6 +26,8 @@ SHINGLE_WORDS = 3
 SIMILARITY = 90  # in hundredths
 #: Elements in the prefixes of more documents are of the frequent class.
 RARE = 8
+#: Candidates up to which their ids (some 50 bytes each) are broadcast to fetch their texts.
+FEW_CANDIDATES = 1_000_000
 
 
 def most_different(size: int, similarity: int) -> int:
@@ -106,28 +108,25 @@ def _whole_sets(width: int):
 
 
 def _shared(prefixes: DataFrame) -> DataFrame:
-    """node, need, at, item, often of the elements that prefixes of two or more sets have.
-
-    Sets are told apart by the first and last of their keys, so copies need not be removed.
-    """
+    """node, at, item, often of the elements that two or more prefixes have."""
     kinds = (
         prefixes.groupBy("item")
-        .agg(F.min("high").alias("x"), F.max("high").alias("y"), F.count(F.lit(1)).alias("n"))
-        .where("x <> y")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
         .select("item", (F.col("n") > RARE).alias("often"))
     )
     return prefixes.join(kinds.hint("shuffle_hash"), "item")
 
 
-def _enough(shared: DataFrame) -> DataFrame:
-    """Only nodes of which enough of the prefix is shared."""
-    good = (
-        shared.groupBy("node", "need")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n >= need")
-        .select("node")
+def _enough(shared: DataFrame, needs: DataFrame) -> DataFrame:
+    """Only nodes of which enough of the prefix is shared; a node's list is part of its prefix."""
+    return (
+        shared.groupBy("node")
+        .agg(F.collect_list(F.struct("at", "item", "often")).alias("found"))
+        .join(needs, "node")
+        .where(F.size("found") >= F.col("need"))
+        .select("node", F.inline("found"))
     )
-    return shared.join(good, "node", "left_semi")
 
 
 def _keys(shared: DataFrame) -> DataFrame:
@@ -143,23 +142,13 @@ def _keys(shared: DataFrame) -> DataFrame:
     return seen.select(key.alias("key"), "node").where("key IS NOT NULL")
 
 
-def link(
-    docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    width: int = SHINGLE_WORDS,
-    similarity: int = SIMILARITY,
-) -> DataFrame:
-    """One row per row of docs: id, n_shingles, component_id.
+def _group(kind: int, x: Column, y: Column) -> Column:
+    """What the rows of a component have in common: nothing but the row, a label, or a set."""
+    return F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"))
 
-    A document's set has the distinct runs of `width` words, ASCII upper case as lower; with
-    fewer words the whole text is one. Two documents link if 100 |A and B| >= similarity
-    |A or B|. component_id is the smallest id that links reach, the document's own included.
-    Documents with equal sets are one node from the start. Null, empty and blank texts have
-    no shingles and link with nothing. A null id counts as no id: it stays null unless links
-    lead to another. Repeated rows stay; other columns are left out; an empty table gives an
-    empty one.
-    """
+
+def _grouped(docs: DataFrame, id: str, text: str, width: int, similarity: int) -> DataFrame:
+    """row, id, text_key, size, group of every row of docs; one group per component."""
     kind = docs.schema[id].dataType.simpleString()
     source = docs.select(
         F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key")
@@ -171,24 +160,28 @@ def link(
             " prefix array<bigint>",
         ).withColumn("row", F.monotonically_increasing_id())
     )
+    # Of equal sets one row stands for all.
+    firsts = (
+        made.where("size > 0").groupBy("high", "low").agg(F.min("row").alias("row")).select("row")
+    )
+    nodes = made.select("row", "prefix").join(firsts, "row", "left_semi")
+    exploded = nodes.select(
+        F.col("row").alias("node"), F.posexplode("prefix").alias("at", "item")
+    )
     different = F.floor(F.col("size") * (100 - similarity) / similarity)
-    exploded = made.where("size > 0").select(
-        F.col("row").alias("node"),
-        "high",
-        F.least(different + 2, F.size("prefix")).cast("int").alias("need"),
-        F.posexplode("prefix").alias("at", "item"),
-    )
-    candidates = cut(_enough(_shared(exploded)))
-    # Of equal sets one row stands for all; then elements may turn out to be its own after all.
-    firsts = made.where("size > 0").groupBy("high", "low").agg(F.min("row").alias("node"))
-    candidates = candidates.join(firsts.select("node"), "node", "left_semi").drop("often")
-    candidates = cut(_enough(_shared(candidates)))
-
-    wanted = (
+    needs = made.select(
+        F.col("row").alias("node"), F.least(different + 2, F.size("prefix")).alias("need")
+    )
+    once = _enough(_shared(exploded), needs)
+    # Elements may be shared with nodes only that are left out by now.
+    candidates = cut(_enough(_shared(once.drop("often")), needs))
+    wanted = cut(
         candidates.select("node")
         .distinct()
         .join(made.select(F.col("row").alias("node"), "id", "text_key"), "node")
     )
+    if wanted.count() <= FEW_CANDIDATES:
+        wanted = F.broadcast(wanted)
     texts = source.alias("d").join(
         wanted.alias("w"),
         (F.col("d.text_key") == F.col("w.text_key")) & F.expr("d.id <=> w.id"),
@@ -215,17 +208,63 @@ def link(
     groups = labels.join(made.select(F.col("row").alias("node"), "high", "low"), "node").select(
         "high", "low", "label"
     )
-    named = (
-        made.select("row", "id", "size", "high", "low")
+    none = F.lit(0).cast("long")
+    return (
+        made.drop("prefix")
         .join(groups, ["high", "low"], "left")
         .withColumn(
             "group",
-            F.when(F.col("size") == 0, F.struct(F.lit(0).alias("k"), F.col("row").alias("x"), F.lit(0).cast("long").alias("y")))
-            .when(F.col("label").isNotNull(), F.struct(F.lit(1).alias("k"), F.col("label").alias("x"), F.lit(0).cast("long").alias("y")))
-            .otherwise(F.struct(F.lit(2).alias("k"), F.col("high").alias("x"), F.col("low").alias("y"))),
+            F.when(F.col("size") == 0, _group(0, F.col("row"), none))
+            .when(F.col("label").isNotNull(), _group(1, F.col("label"), none))
+            .otherwise(_group(2, F.col("high"), F.col("low"))),
         )
     )
+
+
+def link(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    width: int = SHINGLE_WORDS,
+    similarity: int = SIMILARITY,
+) -> DataFrame:
+    """One row per row of docs: id, n_shingles, component_id.
+
+    A document's set has the distinct runs of `width` words, ASCII upper case as lower; with
+    fewer words the whole text is one. Two documents link if 100 |A and B| >= similarity
+    |A or B|. component_id is the smallest id that links reach, the document's own included.
+    Documents with equal sets are one node from the start. Null, empty and blank texts have
+    no shingles and link with nothing. A null id counts as no id: it stays null unless links
+    lead to another. Repeated rows stay; other columns are left out; an empty table gives an
+    empty one.
+    """
+    named = _grouped(docs, id, text, width, similarity)
     smallest = named.groupBy("group").agg(F.min("id").alias("component_id"))
     return named.join(smallest, "group").select(
         F.col("id").alias(id), F.col("size").alias("n_shingles"), "component_id"
     )
+
+
+def superseded(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    width: int = SHINGLE_WORDS,
+    similarity: int = SIMILARITY,
+) -> DataFrame:
+    """id, text_key of the documents that are in a component with one of a smaller id.
+
+    text_key is xxhash64 of the text. A null id is larger than any other. Rows with equal id
+    and text count as one, of rows with equal ids one stays.
+    """
+    named = cut(
+        _grouped(docs, id, text, width, similarity).select("row", "id", "text_key", "group")
+    )
+    smallest = named.groupBy("group").agg(F.min("id").alias("least"))
+    firsts = (
+        named.join(smallest, "group")
+        .where("id <=> least")
+        .groupBy("group")
+        .agg(F.min("row").alias("row"))
+    )
+    return named.join(firsts, "row", "left_anti").select("id", "text_key")
