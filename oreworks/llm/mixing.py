@@ -169,27 +169,15 @@ def _blocks(slots: DataFrame, sources: DataFrame, block: int) -> DataFrame:
     )
 
 
-def mix(
+def _mixed(
     docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    weights: tuple[int, ...] = WEIGHTS,
-    share: float = SHARE,
-    block: int = BLOCK_WORDS,
+    id: str,
+    text: str,
+    source: str,
+    weights: tuple[int, ...],
+    share: float,
+    block: int,
 ) -> DataFrame:
-    """One row per row of docs: id, source, size, source_size, target, taken.
-
-    Sources, by code point with null last, weigh weights in turn and share `share` times all
-    words; none is taken more than twice, and what it would get above that goes to the others
-    by weight. taken is the number of words the mix takes of the document, repeats counted:
-    all of it in as many rounds as its blocks are in, in part where a round ends. A source's
-    taken words are its target, rounded down. Null texts have no words and are never taken.
-
-    The order of documents is that of the MD5 of their id, so reruns agree; rows with equal
-    ids go by size. Other columns are left out, an empty table gives an empty one. A source's
-    words are added up in 4096 parts by the MD5's first digits, so that none is ordered whole.
-    """
     key = F.md5(F.coalesce(F.col(id).cast("string"), F.lit("")).cast("binary"))
     sized = cut(
         docs.select(
@@ -199,6 +187,7 @@ def mix(
             .cast("long")
             .alias("size"),
             key.alias("key"),
+            F.xxhash64(text).alias("text_key"),
             F.monotonically_increasing_id().alias("row"),
         )
     )
@@ -225,7 +214,7 @@ def mix(
         numbered.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
         .join(starts, ["number", "part"])
         .withColumn("start", F.col("first") + F.col("before"))
-        .select("row", "id", "source", "size", "number", "source_size", "target", "start")
+        .drop("key", "part", "first", "before")
     )
     last = F.col("start") + F.greatest(F.col("size"), F.lit(1)) - 1
     cuts = placed.withColumn(
@@ -241,14 +230,50 @@ def mix(
     )
     return (
         cuts.join(blocks, ["number", "block"], "left")
-        .groupBy("row", "id", "source", "size", "source_size", "target")
+        .groupBy("row", "id", "text_key", "source", "size", "source_size", "target")
         .agg(F.sum(words).cast("long").alias("taken"))
-        .select(
-            F.col("id").alias(id),
-            F.col("source").alias(source),
-            "size",
-            "source_size",
-            "target",
-            "taken",
-        )
+    )
+
+
+def mix(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE,
+    block: int = BLOCK_WORDS,
+) -> DataFrame:
+    """One row per row of docs: id, source, size, source_size, target, taken.
+
+    Sources, by code point with null last, weigh weights in turn and share `share` times all
+    words; none is taken more than twice, and what it would get above that goes to the others
+    by weight. taken is the number of words the mix takes of the document, repeats counted:
+    all of it in as many rounds as its blocks are in, in part where a round ends. A source's
+    taken words are its target, rounded down. Null texts have no words and are never taken.
+
+    The order of documents is that of the MD5 of their id, so reruns agree; rows with equal
+    ids go by size. Other columns are left out, an empty table gives an empty one. A source's
+    words are added up in 4096 parts by the MD5's first digits, so that none is ordered whole.
+    """
+    return _mixed(docs, id, text, source, weights, share, block).select(
+        F.col("id").alias(id),
+        F.col("source").alias(source),
+        "size",
+        "source_size",
+        "target",
+        "taken",
+    )
+
+
+def chosen(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """id, text_key, size, source_size, target, taken of the documents that the mix takes.
+
+    text_key is xxhash64 of the text; rows with equal id and text should occur once.
+    """
+    mixed = _mixed(docs, id, text, source, WEIGHTS, SHARE, BLOCK_WORDS)
+    return mixed.where("taken > 0").select(
+        "id", "text_key", "size", "source_size", "target", "taken"
     )
