@@ -6,10 +6,6 @@ it needs and gets all that lead to it.
 
 from __future__ import annotations
 
-from oreworks.catalogue.inputs import CUT_OVER
-from oreworks.functions.calendar import SEASONS
-from oreworks.operators.quality import SKEW_THRESHOLD, TOP_PARTITIONS
-
 _VIEWS = {
     "raw_order_items": """
         SELECT l_orderkey AS order_id, l_partkey AS product_id FROM lineitem""",
@@ -58,13 +54,13 @@ _VIEWS = {
           CAST(o_orderdate AS timestamp) AS order_date, o_totalprice AS order_total_price,
           o_orderpriority AS payment_method
         FROM orders LEFT JOIN first_seller ON l_orderkey = o_orderkey
-        WHERE o_orderdate < TIMESTAMP '{CUT_OVER}'""",
+        WHERE o_orderdate < TIMESTAMP '2000-01-01'""",
     "raw_orders_new": f"""
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, seller_id,
           CAST(o_orderdate AS date) AS order_date, o_orderpriority AS payment_method
         FROM orders LEFT JOIN first_seller ON l_orderkey = o_orderkey
           JOIN (VALUES (0), (1)) AS twice(copy) ON copy = 0 OR o_orderkey % 3 = 0
-        WHERE o_orderdate >= TIMESTAMP '{CUT_OVER}'""",
+        WHERE o_orderdate >= TIMESTAMP '2000-01-01'""",
     "clean_order_items": """
         SELECT DISTINCT order_id, product_id, 'bronze.order_items' AS data_source
         FROM raw_order_items""",
@@ -124,7 +120,8 @@ _VIEWS = {
           CAST(day(day) AS int) AS day, CAST(dayofweek(day) + 1 AS int) AS day_of_week,
           CAST(weekofyear(day) AS int) AS week_of_year, monthname(day) AS month_name,
           dayname(day) AS day_name, dayofweek(day) IN (0, 6) AS is_weekend,
-          {", ".join(f"month(day) IN {months} AS {flag}" for flag, months in SEASONS.items())},
+          month(day) IN (12, 1, 2) AS is_winter, month(day) IN (3, 4, 5) AS is_spring,
+          month(day) IN (6, 7, 8) AS is_summer, month(day) IN (9, 10, 11) AS is_fall,
           CAST(CASE WHEN month(day) >= 7 THEN year(day) + 1 ELSE year(day) END AS int)
             AS fiscal_year
         FROM (SELECT CAST(unnest(generate_series(
@@ -413,7 +410,7 @@ _ORACLE = {
     + _ranges("s_acctbal", "supplier"),
     "dq_partition_sizes": f"""
         SELECT CAST(CAST(o_orderdate AS date) AS varchar) AS partition, count(*) AS row_count
-        FROM orders GROUP BY ALL ORDER BY row_count DESC, partition LIMIT {TOP_PARTITIONS}""",
+        FROM orders GROUP BY ALL ORDER BY row_count DESC, partition LIMIT 20""",
     "dq_skew_stats": """
         SELECT count(*) AS partitions, max(row_count) AS max, min(row_count) AS min,
           avg(row_count) AS mean, CAST(median(row_count) AS double) AS median,
@@ -421,7 +418,7 @@ _ORACLE = {
     "dq_partition_skew": f"""
         SELECT partition, row_count,
           row_count / (SELECT median(row_count) FROM uneven) AS factor FROM uneven
-        WHERE row_count > {SKEW_THRESHOLD} * (SELECT median(row_count) FROM uneven)""",
+        WHERE row_count > 2.0 * (SELECT median(row_count) FROM uneven)""",
     "quality_report": _report(),
     "key_hash_sample": "SELECT * EXCLUDE (slot) FROM new_slots WHERE slot < 262144",
     "dq_sample_estimate": """
@@ -432,6 +429,7 @@ _ORACLE = {
         FROM raw_orders GROUP BY ALL""",
     "sink_append": "SELECT source_system, count(*) AS n FROM unified GROUP BY ALL",
     "sink_merge_upsert": _MERGED_FEEDS,
+    "sink_replace_managed": _MERGED_FEEDS,
     "write_reconciliation": " UNION ALL ".join(
         f"SELECT '{name}' AS \"table\", count(*) AS expected, count(*) AS actual, true AS ok"
         f" FROM {view}"

@@ -424,6 +424,16 @@ def sink_merge_upsert(t: Inputs) -> DataFrame:
     return t.spark.table(name)
 
 
+@_register
+def sink_replace_managed(t: Inputs) -> DataFrame:
+    """A table that Spark itself keeps the files of is merged, then read."""
+    lake = scratch_lake(t.spark)
+    name = lake.table("gold", "managed_customers")
+    _first_feed(t).select(*_ATTRIBUTES).write.saveAsTable(name)
+    upsert_table(_second_feed(t).select(*_ATTRIBUTES), name, ["customer_id"])
+    return t.spark.table(name)
+
+
 @_register
 def write_reconciliation(t: Inputs) -> DataFrame:
     lake = scratch_lake(t.spark)

@@ -4,7 +4,7 @@ Both apply functions join the (wide) dimension once with the batch, as a left jo
 and the batch once with the dimension's keys. A small batch is broadcast and leaves
 the dimension unshuffled; with a large one, adaptive execution splits hot keys, which
 it could not do in a full outer join. Batches must have unique keys
-(``require_unique_keys``); NULL keys match nothing and are inserted.
+(``require_unique_keys``) and no column that the dimension lacks. NULL keys equal each other.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.operators.upsert import without_keys
+from oreworks.operators.upsert import same_keys, without_keys
 
 HISTORY = ("valid_from", "valid_to", "is_current")
 AUDIT = ("created_at", "updated_at")
@@ -33,6 +33,7 @@ def scd1_apply(
     dimension: DataFrame, batch: DataFrame, keys: Sequence[str], as_of: Column | None = None
 ) -> DataFrame:
     """Overwrite what the batch holds, keeping ``created_at``; insert what is new."""
+    _require_known(dimension, batch)
     now = _now(as_of)
     attributes = [c for c in dimension.columns if c not in (*keys, *AUDIT)]
     matched = F.col("incoming").isNotNull()
@@ -63,12 +64,14 @@ def scd2_apply(
     open new keys, keep everything else.
 
     NULLs compare as values. Applying a batch twice changes nothing. A change dated at
-    or before the version it replaces fails: intervals would overlap.
+    or before the version it replaces fails: intervals would overlap. A row whose
+    ``is_current`` is NULL is kept as one of the past.
     """
+    _require_known(dimension, batch)
     now = _now(as_of)
     attributes = [c for c in dimension.columns if c not in (*keys, *HISTORY)]
     current = dimension.filter("is_current")
-    past = dimension.filter("NOT is_current")
+    past = dimension.filter("NOT coalesce(is_current, false)")
 
     old = F.struct(*attributes)
     changed = F.col("incoming").isNotNull() & ~old.eqNullSafe(F.col("incoming"))
@@ -103,4 +106,11 @@ def _with_incoming(
 ) -> DataFrame:
     """The dimension, with the batch's attributes as ``incoming``, NULL where unmatched."""
     incoming = batch.select(*keys, F.struct(*attributes).alias("incoming"))
-    return dimension.join(incoming, list(keys), "left")
+    joined = dimension.alias("r").join(incoming.alias("o"), same_keys(keys), "left")
+    return joined.select("r.*", "o.incoming")
+
+
+def _require_known(dimension: DataFrame, batch: DataFrame) -> None:
+    extra = [c for c in batch.columns if c not in dimension.columns]
+    if extra:
+        raise ValueError(f"columns {extra} are not in the dimension")

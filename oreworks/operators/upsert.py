@@ -1,13 +1,16 @@
 """Merging a batch into a table by key, as joins.
 
-A NULL in a key equals nothing, so such source rows are always inserted.
+NULLs in keys equal each other, as in deduplication, so a repeated merge adds nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -23,7 +26,12 @@ def without_keys(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> Data
     reach the join straight from their shuffle, which lets adaptive execution split a
     key that holds much of ``rows``.
     """
-    return rows.join(other.select(*keys), list(keys), "left_anti")
+    return rows.alias("r").join(other.select(*keys).alias("o"), same_keys(keys), "left_anti")
+
+
+def same_keys(keys: Sequence[str]) -> Column:
+    """Do the rows aliased r and o have one key?"""
+    return reduce(and_, [F.col(f"r.`{k}`").eqNullSafe(F.col(f"o.`{k}`")) for k in keys])
 
 
 def only_new_keys(batch: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -24,7 +24,6 @@ from oreworks.sinks.tables import (
     MissingTable,
     Written,
     append_table,
-    current_layout,
     replace_table,
     upsert_table,
 )
@@ -52,7 +51,7 @@ class BronzeSpec:
     strict_header: bool = False
     corrupt_column: str | None = None
     derive: Transform | None = None
-    layout: Layout = Layout()
+    layout: Layout | None = None
 
 
 @dataclass(frozen=True)
@@ -76,7 +75,7 @@ class SilverSpec:
     mode: str = "overwrite"
     append_keys: tuple[str, ...] = ()
     partition: str | None = None
-    layout: Layout = Layout()
+    layout: Layout | None = None
 
     def __post_init__(self) -> None:
         if len(self.sources) > 1 and (self.not_null or self.prepare or self.transform):
@@ -98,7 +97,7 @@ class GoldSpec:
     scd_type: int = 1
     mode: str = "overwrite"
     stamped: bool = True
-    layout: Layout = Layout()
+    layout: Layout | None = None
 
 
 @dataclass(frozen=True)
@@ -210,5 +209,4 @@ def _merge_gold(
     require_unique_keys(rows, spec.keys)
     apply = scd2_apply if spec.scd_type == 2 else scd1_apply
     merged = apply(spark.table(name), rows, spec.keys, as_of)
-    layout = spec.layout if spec.layout != Layout() else current_layout(spark, name)
-    return replace_table(merged, name, layout, provider)
+    return replace_table(merged, name, spec.layout, provider)

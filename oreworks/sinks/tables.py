@@ -2,9 +2,12 @@
 
 In a catalog with its own table format, each is that format's atomic operation. In
 the session catalog, where tables are Parquet, a replaced or merged table is written
-whole to a new directory, and only then does the table name move there. A failed or
-retried write leaves the old table as it was, and a table can be read while its next
-version is written. Directories of old versions stay until someone removes them.
+whole to a new directory, outside of any table's own, and counted there. Only then does the
+name move: a table of the same columns, without partitions, is pointed at the directory;
+otherwise the new version, complete under a name of its own, is renamed, after the old one
+has been set aside under `<name>__replaced`. A failed or retried write leaves the old
+table as it was; if the driver is lost between the two renames, the next replace puts the
+old table back first. Directories of old versions stay until someone removes them.
 """
 
 from __future__ import annotations
@@ -21,6 +24,9 @@ from oreworks.operators.dedup import require_unique_keys
 from oreworks.operators.upsert import only_new_keys, upsert
 
 PARQUET = "parquet"
+CLUSTER_PROPERTY = "oreworks.cluster_by"
+COMPRESSION_PROPERTY = "oreworks.compression"
+ASIDE = "__replaced"
 
 
 class MissingTable(ValueError):
@@ -72,14 +78,16 @@ class Written:
 
 
 def replace_table(
-    df: DataFrame, name: str, layout: Layout = Layout(), provider: str = PARQUET
+    df: DataFrame, name: str, layout: Layout | None = None, provider: str = PARQUET
 ) -> Written:
-    """Create the table, or replace its rows and schema."""
+    """Create the table, or replace its rows and schema. Without a layout, it keeps its own."""
+    spark = df.sparkSession
+    if layout is None:
+        layout = current_layout(spark, name) if spark.catalog.tableExists(name) else Layout()
+    if in_session_catalog(spark, name):
+        return _replace_version(layout.arrange(df), name, layout)
 
     def write(rows: DataFrame) -> None:
-        if in_session_catalog(rows.sparkSession, name):
-            _write_version(rows, name, layout)
-            return
         writer = rows.writeTo(name).using(provider)
         writer = writer.tableProperty("write.parquet.compression-codec", layout.compression)
         if layout.partition_by:
@@ -90,24 +98,32 @@ def replace_table(
 
 
 def append_table(
-    df: DataFrame, name: str, new_keys: Sequence[str] = (), layout: Layout | None = None
+    df: DataFrame,
+    name: str,
+    new_keys: Sequence[str] = (),
+    layout: Layout | None = None,
+    *,
+    ignore_extra: bool = False,
 ) -> Written:
     """Add rows, matched by column name. With ``new_keys``, only rows whose key the table
-    does not hold yet, so that a repeated append adds nothing."""
+    does not hold yet, so that a repeated append adds nothing. Columns that the table lacks
+    are an error, or left out with ``ignore_extra``."""
     spark = df.sparkSession
     _require_table(spark, name)
     table = spark.table(name)
-    before = table.count()
+    if not ignore_extra:
+        require_known_columns(df, table.columns)
     rows = only_new_keys(df, table, new_keys) if new_keys else df
     rows = (layout or current_layout(spark, name)).arrange(rows.select(*table.columns))
 
-    def write(rows: DataFrame) -> None:
-        if in_session_catalog(spark, name):
-            rows.write.insertInto(name)
-        else:
-            rows.writeTo(name).append()
-
-    return _counted(rows, name, before, write)
+    if in_session_catalog(spark, name):
+        before = set(table.inputFiles())
+        expected = _observed(rows, lambda r: r.write.insertInto(name))
+        added = [f for f in spark.table(name).inputFiles() if f not in before]
+        actual = spark.read.parquet(*added).count() if added else 0
+        return _reconciled(name, expected, actual)
+    before = table.count()
+    return _counted(rows, name, before, lambda r: r.writeTo(name).append())
 
 
 def upsert_table(
@@ -122,15 +138,16 @@ def upsert_table(
     if in_session_catalog(spark, name):
         merged = upsert(spark.table(name), df, keys)
         return replace_table(merged, name, layout or current_layout(spark, name))
+    table = spark.table(name)
+    before, inserted = table.count(), only_new_keys(df, table, keys).count()
     merge_into(df, name, keys)
-    rows = spark.table(name).count()
-    return Written(name, rows, rows)
+    return _reconciled(name, before + inserted, spark.table(name).count())
 
 
 def merge_into(df: DataFrame, name: str, keys: Sequence[str]) -> None:
     """The catalog's own merge: update what has the same key, insert the rest."""
     target = name.split(".")[-1]
-    same_key = F.expr(" AND ".join(f"{target}.`{k}` = source.`{k}`" for k in keys))
+    same_key = F.expr(" AND ".join(f"{target}.`{k}` <=> source.`{k}`" for k in keys))
     merge = df.alias("source").mergeInto(name, same_key)
     merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
@@ -141,9 +158,15 @@ def in_session_catalog(spark: SparkSession, name: str) -> bool:
 
 
 def current_layout(spark: SparkSession, name: str) -> Layout:
-    """The partitioning an existing table has."""
+    """The layout an existing table was written with; of another's table, its partitions."""
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
     columns = spark.catalog.listColumns(name)
-    return Layout(partition_by=tuple(c.name for c in columns if c.isPartition))
+    clustered = found.get(CLUSTER_PROPERTY, "")
+    return Layout(
+        partition_by=tuple(c.name for c in columns if c.isPartition),
+        cluster_by=tuple(filter(None, clustered.split(","))),
+        compression=found.get(COMPRESSION_PROPERTY, Layout.compression),
+    )
 
 
 def _require_table(spark: SparkSession, name: str) -> None:
@@ -151,40 +174,103 @@ def _require_table(spark: SparkSession, name: str) -> None:
         raise MissingTable(f"table {name} does not exist; replace it first")
 
 
-def _write_version(df: DataFrame, name: str, layout: Layout) -> None:
+def require_known_columns(df: DataFrame, known: Sequence[str]) -> None:
+    """Fail if df has columns that would be dropped."""
+    extra = [c for c in df.columns if c not in known]
+    if extra:
+        raise ValueError(f"columns {extra} are not in the table")
+
+
+def _replace_version(df: DataFrame, name: str, layout: Layout) -> Written:
     spark = df.sparkSession
     schema, _, table = name.rpartition(".")
+    aside = name + ASIDE
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(aside):
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
     root = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
-    location = f"{root}/{table}/{uuid4().hex}"
-    writer = df.write.option("compression", layout.compression)
-    writer.partitionBy(*layout.partition_by).parquet(location)
-
+    version = uuid4().hex
+    location = f"{root}/_versions/{table}/{version}"
+    expected = _observed(
+        df,
+        lambda rows: rows.write.option("compression", layout.compression)
+        .partitionBy(*layout.partition_by)
+        .parquet(location),
+    )
     columns = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
+    done = _reconciled(name, expected, spark.read.schema(columns).parquet(location).count())
+
+    if _only_moves(spark, name, columns, layout):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_properties(layout)})")
+        spark.catalog.refreshTable(name)
+        return done
+
+    following = f"{name}__{version}"
     partitioned = ", ".join(f"`{c}`" for c in layout.partition_by)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
-        f"CREATE TABLE {name} ({columns.toDDL()}) USING {PARQUET}"
+        f"CREATE TABLE {following} ({columns.toDDL()}) USING {PARQUET}"
         f" OPTIONS (compression '{layout.compression}')"
         + (f" PARTITIONED BY ({partitioned})" if partitioned else "")
-        + f" LOCATION '{location}'"
+        + f" LOCATION '{location}' TBLPROPERTIES ({_properties(layout)})"
     )
     if partitioned:
-        spark.catalog.recoverPartitions(name)
+        spark.catalog.recoverPartitions(following)
+    exists = spark.catalog.tableExists(name)
+    if exists:
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+    if exists:
+        spark.sql(f"DROP TABLE {aside}")
+    return done
+
+
+def _properties(layout: Layout) -> str:
+    return (
+        f"'{CLUSTER_PROPERTY}' = '{','.join(layout.cluster_by)}',"
+        f" '{COMPRESSION_PROPERTY}' = '{layout.compression}'"
+    )
 
 
-def _counted(
-    df: DataFrame, name: str, before: int, write: Callable[[DataFrame], None]
-) -> Written:
-    """Write, and compare the rows that went in with the rows that are there.
+def _only_moves(
+    spark: SparkSession, name: str, columns: StructType, layout: Layout
+) -> bool:
+    """Can the table be replaced by pointing it at other files?"""
+    if layout.partition_by or not spark.catalog.tableExists(name):
+        return False
+    told = {
+        r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()
+    }
+    fields = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
+    return (
+        told.get("Type") == "EXTERNAL"
+        and told.get("Provider") == PARQUET
+        and not current_layout(spark, name).partition_by
+        and fields == [(f.name, f.dataType) for f in columns.fields]
+    )
+
+
+def _observed(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write, and the number of rows that went in.
 
-    The write itself counts what goes in, so the source is not read twice. The counter
-    sits in the last stage, after any shuffle: there Spark counts each task once, even
-    when executors are lost and tasks run again.
+    The write itself counts, so the source is not read twice. The counter sits in the last
+    stage, after any shuffle: there Spark counts each task once, even when executors are
+    lost and tasks run again.
     """
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    expected = seen.get["rows"]
-    actual = df.sparkSession.table(name).count() - before
+    return seen.get["rows"]
+
+
+def _reconciled(name: str, expected: int, actual: int) -> Written:
     if expected != actual:
         raise RowCountMismatch(f"{name}: {expected} rows expected, {actual} found")
     return Written(name, expected, actual)
+
+
+def _counted(
+    df: DataFrame, name: str, before: int, write: Callable[[DataFrame], None]
+) -> Written:
+    """Write, and compare the rows that went in with those that the table has gained."""
+    expected = _observed(df, write)
+    return _reconciled(name, expected, df.sparkSession.table(name).count() - before)

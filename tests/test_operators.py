@@ -136,13 +136,28 @@ def test_upsert_of_known_new_and_null_keys(spark):
     target = spark.createDataFrame([(1, "old"), (2, "old"), (None, "old")], "k int, v string")
     source = spark.createDataFrame([(2, "new"), (3, "new"), (None, "new")], "k int, v string")
     once = op.upsert(target, source, ["k"])
-    assert rows(once) == [
-        (1, "old"), (2, "new"), (3, "new"), (None, "new"), (None, "old"),
-    ]
-    keyed = source.na.drop()
-    assert rows(op.upsert(op.upsert(target, keyed, ["k"]), keyed, ["k"])) == rows(
-        op.upsert(target, keyed, ["k"])
-    )
+    assert rows(once) == [(1, "old"), (2, "new"), (3, "new"), (None, "new")]
+    assert rows(op.upsert(once, source, ["k"])) == rows(once)
+
+
+def test_dimensions_repeat_no_null_keys_and_lose_no_rows(spark):
+    batch = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
+    first = op.scd1_stamp(batch.limit(0), at(T0))
+    once = op.scd1_apply(first, batch, ["k"], at(T1))
+    assert rows(op.scd1_apply(once, batch, ["k"], at(T1))) == rows(once)
+    opened = op.scd2_apply(op.scd2_stamp(batch.limit(0), at(T0)), batch, ["k"], at(T1))
+    assert rows(op.scd2_apply(opened, batch, ["k"], at(T1))) == rows(opened)
+    unknown = opened.withColumn("is_current", F.lit(None).cast("boolean"))
+    assert op.scd2_apply(unknown, batch, ["k"], at(T1)).count() == 4
+
+
+def test_dimensions_refuse_columns_they_lack(spark):
+    batch = spark.createDataFrame([(1, "b", 2)], "k int, v string, extra int")
+    narrow = batch.drop("extra")
+    with pytest.raises(ValueError, match="extra"):
+        op.scd1_apply(op.scd1_stamp(narrow, at(T0)), batch, ["k"], at(T1))
+    with pytest.raises(ValueError, match="extra"):
+        op.scd2_apply(op.scd2_stamp(narrow, at(T0)), batch, ["k"], at(T1))
 
 
 # Slowly changing dimensions

@@ -173,3 +173,67 @@ def test_columns_and_files(spark, schema):
 
 def values_of(df):
     return sorted(tuple(r) for r in df.collect())
+
+
+def test_managed_tables_are_replaced_and_merged(spark, schema):
+    name = f"{schema}.m"
+    spark.range(10).selectExpr("id AS k", "'old' AS v").write.saveAsTable(name)
+    batch = spark.range(7, 14).selectExpr("id AS k", "'new' AS v")
+    done = sinks.upsert_table(batch, name, ["k"])
+    assert (done.expected, done.actual) == (14, 14)
+    assert spark.table(name).filter("v = 'new'").count() == 7
+    sinks.replace_table(spark.range(3).toDF("k"), name)
+    assert values(spark, name, "k") == [(0,), (1,), (2,)]
+
+
+@pytest.mark.parametrize("layout", [Layout(), Layout(partition_by=("p",))])
+def test_a_replace_that_stops_before_the_swap_leaves_the_table(
+    spark, schema, monkeypatch, layout
+):
+    name = f"{schema}.t"
+    rows = spark.range(5).selectExpr("id AS k", "id % 2 AS p")
+    sinks.replace_table(rows, name, layout)
+
+    def stop(*_):
+        raise RuntimeError("stop")
+
+    monkeypatch.setattr("oreworks.sinks.tables._reconciled", stop)
+    with pytest.raises(RuntimeError, match="stop"):
+        sinks.replace_table(rows.limit(1), name, layout)
+    assert spark.table(name).count() == 5
+    monkeypatch.undo()
+    sinks.replace_table(rows.limit(1), name, layout)
+    assert spark.table(name).count() == 1
+
+
+def test_an_old_table_set_aside_is_put_back(spark, schema):
+    name = f"{schema}.t"
+    sinks.replace_table(spark.range(5).toDF("k"), name, Layout(partition_by=()))
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__replaced")
+    sinks.replace_table(spark.range(2).toDF("k"), name)
+    assert spark.table(name).count() == 2
+    assert not spark.catalog.tableExists(f"{name}__replaced")
+
+
+def test_layouts_last(spark, schema):
+    name = f"{schema}.t"
+    rows = spark.range(50).selectExpr("id AS k", "id % 2 AS p", "id AS d")
+    layout = Layout(partition_by=("p",), cluster_by=("d",), compression="gzip")
+    sinks.replace_table(rows, name, layout)
+    sinks.upsert_table(rows.limit(3), name, ["k"])
+    assert current_layout(spark, name) == layout
+    sinks.append_table(rows.selectExpr("k + 100 AS k", "p", "d"), name)
+    assert current_layout(spark, name) == layout
+
+
+def test_unknown_columns_and_null_keys(spark, schema):
+    name = f"{schema}.t"
+    rows = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
+    sinks.replace_table(rows.limit(0), name)
+    wide = rows.withColumn("extra", F.lit(1))
+    with pytest.raises(ValueError, match="extra"):
+        sinks.append_table(wide, name)
+    sinks.append_table(wide, name, ["k"], ignore_extra=True)
+    done = sinks.append_table(rows, name, ["k"])
+    assert (done.expected, done.actual) == (0, 0)
+    assert spark.table(name).count() == 2
