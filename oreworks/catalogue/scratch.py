@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -13,12 +12,11 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A new directory below the one the cluster shares for such data."""
+    """A new directory below the one the cluster shares for such data, or, where none is
+    set, below the warehouse, which is shared as well."""
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to storage that all executors share")
-        shared = tempfile.mkdtemp(prefix="oreworks-")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{shared.rstrip('/')}/oreworks-{uuid4().hex}"
 
 

@@ -10,7 +10,7 @@ from oreworks.functions.casts import (
     as_date,
     as_double,
     as_key,
-    money,
+    money_sum,
     range_bucket,
     rejected,
 )
@@ -33,7 +33,7 @@ __all__ = [
     "mask_account",
     "mask_card",
     "mask_card_strict",
-    "money",
+    "money_sum",
     "range_bucket",
     "rejected",
     "tidy",

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from oreworks.functions.text import _col
 
-MONEY = "decimal(18,2)"
+#: Amounts below 1e21 add up exactly, to a millionth.
+EXACT = "decimal(28,6)"
 
 
 def as_date(c: Column | str) -> Column:
@@ -25,9 +26,21 @@ def as_key(c: Column | str) -> Column:
     return _col(c).cast("string")
 
 
-def money(c: Column | str) -> Column:
-    """An amount as a decimal: sums come out the same in whatever order they run."""
-    return _col(c).cast(MONEY)
+def money_sum(c: Column | str) -> Column:
+    """Sum of amounts (double), as an aggregate.
+
+    Amounts below 1e21 are added as decimals, so sums come out the same in whatever order
+    they run. NaN, infinities and larger amounts are added as doubles, as ``sum`` does:
+    nothing is left out, and one NaN makes the sum NaN. NULL if there is no amount.
+    """
+    amount = _col(c).cast("double")
+    finite = ~F.isnan(amount) & (F.abs(amount) < F.lit(1e21))
+    exact = F.when(finite, amount).cast(EXACT)
+    rest = F.when(~finite, amount)
+    total = F.coalesce(F.sum(exact).cast("double"), F.lit(0.0)) + F.coalesce(
+        F.sum(rest), F.lit(0.0)
+    )
+    return F.when(F.count(amount) > 0, total)
 
 
 def range_bucket(c: Column | str, width: int) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.functions import as_key, money
+from oreworks.functions import as_key, money_sum
 from oreworks.operators.clean import LEGACY
 
 
@@ -21,7 +21,7 @@ def customer_lifetime_value(
     if country is not None:
         customers = customers.filter(F.col("country") == country)
     per_customer = fact.groupBy(as_key("customer_key").alias("customer_key")).agg(
-        F.sum(money("order_amount")).alias("lifetime_value"),
+        money_sum("order_amount").alias("lifetime_value"),
         F.count("order_key").alias("total_orders"),
     )
     names = customers.select(as_key("customer_key").alias("customer_key"), "customer_name", "country")
@@ -31,7 +31,7 @@ def customer_lifetime_value(
             "customer_key",
             "customer_name",
             "country",
-            F.col("lifetime_value").cast("double").alias("lifetime_value"),
+            "lifetime_value",
             "total_orders",
         )
         .orderBy(F.desc("lifetime_value"), "customer_key")
@@ -46,7 +46,7 @@ def sales_trend(fact: DataFrame, dates: DataFrame, source_system: str = LEGACY)
         .groupBy(F.col("order_date_key").alias("date_key"))
         .agg(
             F.count("order_key").alias("orders"),
-            F.sum(money("order_amount")).alias("amount"),
+            money_sum("order_amount").alias("amount"),
         )
     )
     return (
@@ -54,7 +54,7 @@ def sales_trend(fact: DataFrame, dates: DataFrame, source_system: str = LEGACY)
         .groupBy("year", "month", "month_name")
         .agg(
             F.sum("orders").alias("order_count"),
-            F.sum("amount").cast("double").alias("revenue"),
+            money_sum("amount").alias("revenue"),
         )
         .orderBy("year", "month")
     )

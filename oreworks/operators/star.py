@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.functions import age_in_years, days_since, money
+from oreworks.functions import age_in_years, days_since, money_sum
 from oreworks.functions.calendar import calendar_columns
 from oreworks.operators.clean import LEGACY
 
@@ -101,7 +101,7 @@ def fact_sales_summary(orders: DataFrame) -> DataFrame:
     """
     priced = orders.filter(F.col("source_system") == LEGACY)
     price = F.col("order_total_price")
-    total = F.sum(money(price)).cast("double")
+    total = money_sum(price)
     return priced.groupBy(
         F.col("customer_id").alias("customer_key"),
         F.col("seller_id").alias("seller_key"),

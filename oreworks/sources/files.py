@@ -19,8 +19,10 @@ def read_typed(
     strict_header: bool = False,
     corrupt_column: str | None = None,
     file_glob: str | None = None,
+    recursive: bool = True,
 ) -> DataFrame:
-    """Scan a folder with a given schema; nothing is inferred.
+    """Scan a folder, and those below it if ``recursive``, with a given schema; nothing is
+    inferred.
 
     ``strict_header`` fails when a CSV header names other columns, or the same
     in another order. ``corrupt_column`` keeps the text of records that do not
@@ -30,6 +32,7 @@ def read_typed(
         raise ValueError(f"file format {file_format!r} is none of {FORMATS}")
     reader = spark.read.format(file_format)
     reader = reader.option("pathGlobFilter", file_glob or f"*.{file_format}")
+    reader = reader.option("recursiveFileLookup", recursive)
     if file_format == "csv":
         reader = reader.option("header", header).option("enforceSchema", not strict_header)
     if corrupt_column and file_format != "parquet":
@@ -38,8 +41,8 @@ def read_typed(
     return reader.schema(schema).load(path)
 
 
-def list_data_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """``path, length, format`` of the data files below the paths.
+def list_data_files(spark: SparkSession, *paths: str, recursive: bool = True) -> DataFrame:
+    """``path, length, format`` of the data files in the paths, and below if ``recursive``.
 
     Only the listing is read: pruning the content column keeps files unopened.
     Names that begin with a dot or an underscore are never listed.
@@ -47,7 +50,7 @@ def list_data_files(spark: SparkSession, *paths: str) -> DataFrame:
     suffix = rf"\.({'|'.join(FORMATS)})$"
     files = (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", recursive)
         .load(list(paths))
         .select("path", "length", F.regexp_extract("path", suffix, 1).alias("format"))
     )

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
-SLOTS = 1 << 20
+#: Slots of a portable sample; the other one uses all 64 bits of the hash.
+SLOTS = 1 << 60
 
 
 def row_sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
@@ -26,10 +27,13 @@ def key_hash_sample(
     the scan's stage, without a shuffle. ``portable`` hashes with MD5, slower but
     the same in any engine.
     """
-    slot = _md5_slot(keys) if portable else F.pmod(F.xxhash64(*keys), F.lit(SLOTS))
-    return df.filter(slot < int(fraction * SLOTS))
+    if fraction >= 1:
+        return df
+    if portable:
+        return df.filter(_md5_slot(keys) < int(fraction * SLOTS))
+    return df.filter(F.xxhash64(*keys) < int(fraction * (1 << 64)) - (1 << 63))
 
 
 def _md5_slot(keys: Sequence[str]) -> Column:
     text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 5), 16, 10).cast("int")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")

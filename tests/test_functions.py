@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import re
 
 import pytest
@@ -120,3 +121,24 @@ def test_ages_and_days(spark):
         fn.age_in_years("born", as_of), fn.age_exact("born", as_of), fn.days_since("born", as_of)
     ).collect()
     assert [tuple(r) for r in rows] == [(25, 24, 8950), (None, None, None)]
+
+
+@pytest.mark.parametrize(
+    "amounts,total",
+    [
+        ([1.005], 1.005),
+        ([0.1] * 10, 1.0),
+        ([1e17, 0.01], 1e17 + 0.01),
+        ([1e300, 1.0], 1e300),
+        ([float("inf"), 1.0, None], float("inf")),
+        ([None], None),
+    ],
+)
+def test_money_adds_up(spark, amounts, total):
+    df = spark.createDataFrame([(a,) for a in amounts], "a double")
+    assert df.agg(fn.money_sum("a")).first()[0] == total
+
+
+def test_money_keeps_nan(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,)], "a double")
+    assert math.isnan(df.agg(fn.money_sum("a")).first()[0])

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from oreworks import sources
 from oreworks.operators import dim_date
 from oreworks.sources import (
     calendar_days,
@@ -94,3 +95,23 @@ def test_row_sample_repeats(spark):
     first = row_sample(df, 0.1).count()
     assert 800 < first < 1200
     assert row_sample(df, 0.1).count() == first
+
+
+def test_folders_below_are_listed_and_read_alike(spark, tmp_path):
+    one = spark.createDataFrame([(1,), (2,)], "k int").coalesce(1)
+    one.write.csv(f"{tmp_path}/2024", header=True)
+    one.write.mode("append").csv(str(tmp_path), header=True)
+    for recursive, files in ((True, 2), (False, 1)):
+        listed = sources.list_data_files(spark, str(tmp_path), recursive=recursive)
+        assert listed.count() == files
+        read = sources.read_typed(spark, str(tmp_path), one.schema, recursive=recursive)
+        assert read.count() == 2 * files
+
+
+def test_small_fractions_of_keys(spark):
+    keys = spark.range(4_000_000).toDF("k")
+    found = sources.key_hash_sample(keys, ["k"], 5e-6).count()
+    assert 5 <= found <= 50
+    assert sources.key_hash_sample(keys, ["k"], 1.0).count() == 4_000_000
+    third = sources.key_hash_sample(keys, ["k"], 1 / 3).count()
+    assert abs(third - 4_000_000 / 3) < 6_000
