@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,13 +187,22 @@ GOLD = {
 def build_lake(
     spark: SparkSession, lake: Lake, as_of: Column | None = None
 ) -> dict[str, LayerReport]:
-    """All tables, layer by layer. ``as_of`` is the date and time the run counts from."""
+    """All tables, layer by layer. ``as_of`` is the date and time the run counts from.
+
+    Tables of a layer are built at the same time; those that add to another come after.
+    """
     lake.create_schemas(spark)
+    added = {name: spec for name, spec in SILVER.items() if spec.mode == "append"}
+    first = {name: spec for name, spec in SILVER.items() if name not in added}
+    steps = [
+        ("bronze", BRONZE, lambda spec: ingest_bronze(spark, lake, spec)),
+        ("silver", first, lambda spec: refine_silver(spark, lake, spec, as_of)),
+        ("silver", added, lambda spec: refine_silver(spark, lake, spec, as_of)),
+        ("gold", GOLD, lambda spec: build_gold(spark, lake, spec, as_of)),
+    ]
     reports = {}
-    for name, spec in BRONZE.items():
-        reports[f"bronze.{name}"] = ingest_bronze(spark, lake, spec)
-    for name, spec in SILVER.items():
-        reports[f"silver.{name}"] = refine_silver(spark, lake, spec, as_of)
-    for name, spec in GOLD.items():
-        reports[f"gold.{name}"] = build_gold(spark, lake, spec, as_of)
+    for layer, specs, build in steps:
+        with ThreadPoolExecutor(max(1, len(specs))) as pool:
+            built = pool.map(build, specs.values())
+            reports |= {f"{layer}.{name}": report for name, report in zip(specs, built)}
     return reports
