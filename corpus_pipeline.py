@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from oreworks.llm import decontamination, jaccard_join, language_id, mixing, substring_dedup
 from oreworks.llm.lineage import cut
-from oreworks.llm.rows import once, same_row, sized
+from oreworks.llm.rows import once, same_row, sized, small_batches
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,6 +25,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A text of a word or two has a small cosine with any language, so no larger one is asked for.
     """
+    small_batches(spark)
     model = language_id.fit(docs.where(~language_id.held_out("doc_id", 4, 2)))
     rows = docs.select(
         F.struct("*").alias("doc"), language_id.predicted(F.col("text"), model).alias("found")
@@ -37,6 +38,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of linked ones."""
+    small_batches(spark)
     docs = once(docs)
     gone = sized(cut(jaccard_join.superseded(docs)))
     return docs.alias("d").join(
@@ -46,6 +48,7 @@ def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages out of texts; a document of which no word is left goes."""
+    small_batches(spark)
     docs = once(docs)
     found = substring_dedup.find_repeats(docs)
     spans = sized(
@@ -77,6 +80,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a test item."""
+    small_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.find_items(docs, items)
     held = sized(cut(found.select(F.col("doc_id").alias("held")).distinct()))
@@ -88,6 +92,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     taken tells how many of the document's words the mix holds, up to twice its size.
     """
+    small_batches(spark)
     docs = once(docs)
     added = ["size", "source_size", "target", "taken"]
     chosen = cut(mixing.chosen(docs))

@@ -21,6 +21,7 @@ from oreworks.llm import (
     substring_dedup,
     token_counts,
 )
+from oreworks.llm.rows import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,7 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

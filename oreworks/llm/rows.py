@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Texts that a Python worker gets at a time, where the session has not set a number: Spark's
+#: own default of 10,000 texts takes hundreds of megabytes if they are long.
+TEXTS_AT_A_TIME = 1_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Rows up to which a table of ids and 64-bit keys (some 50 bytes each) is broadcast.
 FEW_ROWS = 1_000_000
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers in small batches, unless the session says otherwise."""
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, str(TEXTS_AT_A_TIME))
+
+
 def sized(found: DataFrame) -> DataFrame:
     """found, to be broadcast if it has few rows; otherwise both sides are shuffled."""
     return F.broadcast(found) if found.count() <= FEW_ROWS else found

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are hashed in one step; a text above it is cut between words.
-STEP = 1 << 22
+STEP = 1 << 20
 
 
 def byte_class(separators: bytes) -> np.ndarray:
