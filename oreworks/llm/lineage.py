@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 
 
@@ -9,10 +11,16 @@ def cut(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the checkpoint folder that all executors share.
 
     The folder is the session's (spark.checkpoint.dir). Only where none is set, it lies below
-    the warehouse, which is shared as well.
+    the warehouse, which is shared as well. What earlier steps have shuffled and kept is then
+    out of use; collecting the driver's garbage makes Spark delete it, which it would
+    otherwise do only when the driver runs short of memory.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    del df
+    gc.collect()
+    context._jvm.System.gc()
+    return done

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from oreworks.llm.components import components
 from oreworks.llm.lineage import cut
 
-STAR_ROUNDS = 2
+STAR_ROUNDS = 4
 #: 64-bit numbers of a sketch.
 SKETCH = 8
 
