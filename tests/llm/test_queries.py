@@ -59,3 +59,35 @@ def test_hard_tables_pass_every_stage(spark, make, tmp_path):
 def test_once(make):
     docs = make([(1, "a"), (1, "a"), (1, "b"), (None, None), (None, None)])
     assert once(docs).count() == 3
+
+
+def five_word_runs(text):
+    words = (text or "").encode().lower().split()
+    if len(words) < 5:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(zip(*(words[k:] for k in range(5))))
+
+
+def test_near_copy_stage_keeps_one_document_of_each_group(spark, make):
+    given = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    words = [f"w{k}" for k in range(60)]
+    near = [words[:20] + ["new"] + words[21:], words[:40] + ["a", "b"] + words[40:]]
+    rows = [(r.doc_id, r.text) for r in given]
+    rows += [(10_000 + k, " ".join(x)) for k, x in enumerate([words, *near])]
+    runs = [(i, five_word_runs(t)) for i, t in rows]
+    least = {i: i for i, _ in runs}
+    links = [
+        (i, j)
+        for k, (i, a) in enumerate(runs)
+        for j, b in runs[:k]
+        if a and b and 100 * len(a & b) >= 80 * len(a | b)
+    ]
+    for _ in runs:
+        before = dict(least)
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+        if least == before:
+            break
+    left = corpus_pipeline.join_near_copies(spark, make(rows), SF).collect()
+    assert sorted(r.doc_id for r in left) == sorted(i for i in least if least[i] == i)
+    assert 10_000 in {r.doc_id for r in left} and not {10_001, 10_002} & {r.doc_id for r in left}
