@@ -247,7 +247,7 @@ ROOTS = (
     "licen copyright rights gpl apache cc0 gnu mpl spdx cddl cecill wtfpl eupl ofl gfdl"
     " commons domain warranty redistribut permission proprietary confidential reproduced"
     " openrail terms advertising endorse perl unencumbered neighboring unauthorized verbatim"
-    " clause rail"
+    " clause rail attribution"
 ).split()
 
 

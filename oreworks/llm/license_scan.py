@@ -31,7 +31,7 @@ def _may_match(text: Column) -> Column:
     """A cheap test that all texts with a detection pass."""
 
     def test(low: Column) -> Column:
-        found = low.rlike(r"\bcc" + SEPARATORS + "(?:by|0)")
+        found = low.rlike("(?:^|" + SEPARATORS + ")cc" + SEPARATORS + "(?:by|0)")
         for root in ROOTS:
             found = found | F.contains(low, F.lit(root))
         return found

@@ -1,4 +1,7 @@
 import re
+from itertools import product
+
+from pyspark.sql import functions as F
 
 from oreworks.llm import license_rules, license_scan
 
@@ -77,3 +80,53 @@ def test_every_rule_has_its_keyword_and_passes_the_gate():
 
 def test_empty_table(make):
     assert license_scan.scan(make(["a"]).limit(0)).count() == 0
+
+
+def least_matches(regex):
+    """Texts of each branch of a pattern, whatever may be left out left out."""
+
+    def made(parsed):
+        parts = []
+        for kind, x in parsed:
+            kind = str(kind)
+            if kind == "LITERAL":
+                parts.append([chr(x)])
+            elif kind == "BRANCH":
+                parts.append([t for branch in x[1] for t in made(branch)])
+            elif kind == "SUBPATTERN":
+                parts.append(made(x[3]))
+            elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+                parts.append([t * x[0] for t in made(x[2])] if x[0] else [""])
+            elif kind == "IN":
+                parts.append(["7" if str(x[0][1]) == "CATEGORY_DIGIT" else chr(x[0][1])
+                              if str(x[0][0]) == "LITERAL" else "x"])
+            else:
+                parts.append(["x"])
+        return ["".join(p) for p in product(*parts)]
+
+    return sorted(set(made(re._parser.parse(regex))))
+
+
+def test_every_match_passes_the_gate_between_any_separators(spark):
+    phrases = {phrase for _, phrase in license_rules.BASE}
+    for rule in license_rules.rules():
+        made = least_matches(rule.regex)
+        assert made and all(re.fullmatch(rule.regex, x) for x in made), rule
+        phrases |= set(made)
+    separators = [chr(c) for c in range(128) if not chr(c).isalnum()]
+    texts = spark.createDataFrame([(p,) for p in sorted(phrases)], "p string")
+    marks = spark.createDataFrame([(c,) for c in separators], "c string")
+    inner = F.replace("p", F.lit(" "), F.col("c"))
+    wrapped = texts.crossJoin(F.broadcast(marks)).select(
+        F.explode(F.array(inner, F.concat("c", inner, "c"), F.concat(F.lit("img"), "c", inner))).alias("t")
+    )
+    missed = wrapped.where(~license_scan._may_match(F.col("t")))
+    assert [r.t for r in missed.limit(5).collect()] == []
+
+
+def test_names_between_underscores_are_found(make):
+    texts = ["_CC BY 4.0_", "img_cc_by", "some MIT No Attribution text"]
+    rows = license_scan.summary(license_scan.scan(make(texts))).orderBy("doc_id").collect()
+    assert [r.n_base for r in rows] == [1, 1, 0]
+    assert rows[0].first_word == 0 and rows[1].first_word == 1
+    assert "cc-by" in rows[0].base_labels and rows[2].labels == "mit-0"
