@@ -86,8 +86,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     small_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.find_items(docs, items)
-    held = sized(cut(found.select(F.col("doc_id").alias("held")).distinct()))
-    return docs.join(held, F.expr("doc_id <=> held"), "left_anti")
+    held = sized(cut(found.select(F.col("doc_id").alias("id"), "text_key").distinct()))
+    return docs.alias("d").join(
+        held.alias("f"), same_row("d", "f", "doc_id", "text"), "left_anti"
+    )
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

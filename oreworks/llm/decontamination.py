@@ -268,6 +268,7 @@ def _searcher(
     schema = pa.schema(
         [
             ("doc", kind),
+            ("text_key", pa.int64()),
             ("item", pa.int64()),
             ("score", pa.float64()),
             ("question_overlap", pa.float64()),
@@ -280,10 +281,11 @@ def _searcher(
             for numbers, ends, words in hashed_batches(batch["text"], ALPHANUMERIC):
                 hits = check_texts(items, indexes, words, ends, threshold, overlap)
                 if hits:
-                    docs = batch["doc"].take(pa.array([numbers[text] for text, *_ in hits]))
+                    rows = pa.array([numbers[text] for text, *_ in hits])
+                    docs, keys = batch["doc"].take(rows), batch["text_key"].take(rows)
                     ids = pa.array([items[i].id for _, i, *_ in hits], pa.int64())
                     rest = [pa.array(c, pa.float64()) for c in list(zip(*hits))[2:]]
-                    yield pa.RecordBatch.from_arrays([docs, ids, *rest], schema=schema)
+                    yield pa.RecordBatch.from_arrays([docs, keys, ids, *rest], schema=schema)
 
     return search
 
@@ -298,7 +300,7 @@ def find_items(
     threshold: float = THRESHOLD,
     overlap: float = OVERLAP,
 ) -> DataFrame:
-    """A row per text and test item that it holds: id, item, score, and both overlaps.
+    """A row per text and test item that it holds: id, item, score, both overlaps, text_key.
 
     An item's answer is what follows its last question mark, else its last line, else its
     last sentence; the question is the rest. Both overlaps must reach `overlap`; a part
@@ -310,18 +312,21 @@ def find_items(
     part is one pass over the texts. Items of one word have no terms and match nothing. Null
     and empty texts and items match nothing; repeated
     rows of docs give repeated rows; equal items each give a row; other columns are left out;
-    with no items or texts the result is empty.
+    with no items or texts the result is empty. text_key is xxhash64 of the text: with the id,
+    it finds the row again.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
-    rows = docs.select(F.col(id).alias("doc"), F.col(text).alias("text"))
+    rows = docs.select(
+        F.col(id).alias("doc"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text")
+    )
     tests = items.select(F.col(item).cast("long").alias("item"), F.col(item_text).alias("text"))
     tests = tests.where(F.col("text").isNotNull())
     chars = tests.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-chars // INDEX_CHARS))
     kind = docs.schema[id].dataType
     schema = (
-        f"doc {kind.simpleString()}, item bigint, score double,"
+        f"doc {kind.simpleString()}, text_key bigint, item bigint, score double,"
         " question_overlap double, answer_overlap double"
     )
     found = None
@@ -343,4 +348,5 @@ def find_items(
         "score",
         "question_overlap",
         "answer_overlap",
+        "text_key",
     )

@@ -66,7 +66,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
-    return decontamination.find_items(docs, items)
+    return decontamination.find_items(docs, items).drop("text_key")
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,3 +91,11 @@ def test_near_copy_stage_keeps_one_document_of_each_group(spark, make):
     left = corpus_pipeline.join_near_copies(spark, make(rows), SF).collect()
     assert sorted(r.doc_id for r in left) == sorted(i for i in least if least[i] == i)
     assert 10_000 in {r.doc_id for r in left} and not {10_001, 10_002} & {r.doc_id for r in left}
+
+
+def test_decontamination_drops_rows_not_ids(spark, make):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, f"before {item} after"), (None, "clean"), (7, item), (7, "clean too"), (8, None)]
+    left = corpus_pipeline.decontaminate(spark, make(rows + rows[:2]), SF).collect()
+    want = [(7, "clean too"), (8, None), (None, "clean"), (None, "clean")]
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == want
