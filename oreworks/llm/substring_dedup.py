@@ -3,14 +3,20 @@
 Paragraphs (lines) are compared by MinHash banding, tuned for recall: colliding ones are
 verified by the exact Jaccard similarity of their five-word runs and clustered by components,
 and one paragraph of each cluster stays. A passage that starts or ends inside a
-paragraph makes neither a near copy, so sentences are compared as well, as they are. What
-is removed is a run of such sentences and paragraphs of at least `RUN_WORDS` words; sentences
-of under five words count only between others.
+paragraph makes neither a near copy, so sentences and seeds are compared as well,
+as they are. Seeds are runs of `SEED_WORDS` words, picked by the least hash of every
+`SEED_WINDOW` that follow each other, wherever sentences and lines end: equal passages of
+`SEED_WORDS + SEED_WINDOW - 1` words have a seed in common. From the outer ones the passage is
+extended word by word, as far as the kept document has the same words. What is removed is a
+run of all of these of at least `RUN_WORDS` words; sentences of under five words count only
+between others and within seeds.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +36,12 @@ HASHES = 40
 PARAGRAPH_WORDS = 20
 #: Words in the shortest passage that is removed.
 RUN_WORDS = 25
+SEED_WORDS, SEED_WINDOW = 26, 25
 FEW_CANDIDATES = 1_000_000
+#: Lists of words beside seeds (some 500 bytes each) up to which they are broadcast.
+FEW_CONTEXTS = 100_000
+#: What a hash in the table of equal stretches of words stands for.
+SENTENCE, SEED = 0, 1
 
 
 def tune(similarity: float, recall: float, hashes: int) -> tuple[int, int]:
@@ -54,7 +65,7 @@ class Units:
         breaks = np.cumsum(data == 10)
         self.cuts = np.searchsorted(starts, bounds)
         n = len(starts)
-        text = np.searchsorted(bounds, starts, side="right")
+        self.text = text = np.searchsorted(bounds, starts, side="right")
         line = breaks[starts] if n else starts
         last = data[ends - 1] if n else data
         new_line = np.ones(n, dtype=bool)
@@ -69,7 +80,9 @@ class Units:
     def hashes_of(self, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hash and length of each stretch of words that begins at one of the places."""
         stops = np.append(firsts[1:], self.n)
-        lengths = stops - firsts
+        return self._stretches(firsts, stops), stops - firsts
+
+    def _stretches(self, firsts: np.ndarray, stops: np.ndarray) -> np.ndarray:
         odd = np.uint64(0x9E3779B97F4A7C15)
         powers = np.full(self.n + 1, odd, dtype=np.uint64)
         powers[0] = 1
@@ -80,7 +93,32 @@ class Units:
         sums = np.zeros(self.n + 1, dtype=np.uint64)
         np.cumsum(self.words * powers[: self.n], out=sums[1:])
         raw = (sums[stops] - sums[firsts]) * back[firsts]
-        return mix(raw + lengths.astype(np.uint64)).view(np.int64), lengths
+        return mix(raw + (stops - firsts).astype(np.uint64)).view(np.int64)
+
+    def seeds(self) -> tuple[np.ndarray, np.ndarray]:
+        """First words and hashes of the seeds.
+
+        Of one seed that follows itself (repetitive text) some are left out, but the words from
+        the first to the last remain covered.
+        """
+        reach = SEED_WORDS + SEED_WINDOW - 1
+        if self.n < reach:
+            none = np.zeros(0, dtype=np.int64)
+            return none, none
+        firsts = np.arange(self.n - SEED_WORDS + 1)
+        made = self._stretches(firsts, firsts + SEED_WORDS)
+        windows = np.lib.stride_tricks.sliding_window_view(made, SEED_WINDOW)
+        least = np.arange(len(windows)) + windows.argmin(axis=1)
+        places = np.unique(least[self.text[: len(windows)] == self.text[reach - 1 :]])
+        hashes, text = made[places], self.text[places]
+        new = np.ones(len(places), dtype=bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
+        last = np.append(new[1:], True)[: len(places)]
+        begin = places[np.flatnonzero(new)][np.cumsum(new) - 1]
+        step = (places - begin) // ((SEED_WINDOW + 1) // 2)
+        keep = new | last
+        keep[1:] |= step[1:] != step[:-1]
+        return places[keep], hashes[keep]
 
     def shingles(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of runs of words within a paragraph, and their paragraph."""
@@ -134,14 +172,22 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             long = np.flatnonzero(line_sizes >= PARAGRAPH_WORDS)
             keep = np.isin(owner, long)
             keys = band_keys(shingles[keep], np.searchsorted(owner[keep], long))
+            places, seeds = units.seeds()
+            seeds_by_text = np.searchsorted(places, units.cuts)
             by_text = np.searchsorted(units.sentence_first, units.cuts)
             lines_by_text = np.searchsorted(units.line_first, units.cuts)
             long_by_text = np.searchsorted(long, lines_by_text)
             columns: dict[str, list[np.ndarray]] = {
-                c: [] for c in ("hashes", "sizes", "again", "lines", "long", "long_hashes", "bands")
+                c: []
+                for c in (
+                    "hashes", "sizes", "again", "lines", "long", "long_hashes", "bands", "places",
+                    "seeds",
+                )
             }
-            a = p = q = 0
-            for b, q2, p2 in zip(by_text, long_by_text, lines_by_text):
+            a = p = q = t = word = 0
+            for b, q2, p2, t2, word2 in zip(
+                by_text, long_by_text, lines_by_text, seeds_by_text, units.cuts
+            ):
                 columns["hashes"].append(hashes[a:b])
                 columns["sizes"].append(sizes[a:b])
                 columns["again"].append(_repeated(hashes[a:b]))
@@ -149,10 +195,12 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 columns["long"].append(long[q:q2] - p)
                 columns["long_hashes"].append(line_hashes[long[q:q2]])
                 columns["bands"].append(keys[q:q2].reshape(-1))
-                a, p, q = b, p2, q2
+                columns["places"].append(places[t:t2] - word)
+                columns["seeds"].append(seeds[t:t2])
+                a, p, q, t, word = b, p2, q2, t2, word2
             picked = batch.take(pa.array(numbers))
             kinds = {"hashes": pa.int64(), "again": pa.bool_(), "long_hashes": pa.int64()}
-            kinds["bands"] = pa.int64()
+            kinds["bands"] = kinds["seeds"] = pa.int64()
             yield pa.RecordBatch.from_arrays(
                 [picked["id"], picked["text_key"]]
                 + [_list_column(v, kinds.get(c, pa.int32())) for c, v in columns.items()],
@@ -184,59 +232,129 @@ def _paragraph_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 )
 
 
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words before (last one first) and after the seeds that are asked for, as hashes."""
+    for batch in batches:
+        for numbers, bounds, data in batched(text_bytes(batch["text"])):
+            units = Units(bounds, data)
+            places, hashes = units.seeds()
+            a, rows = 0, []
+            for number, b in zip(numbers, units.cuts):
+                words = units.words[a:b].view(np.int64)
+                s, t = np.searchsorted(places, [a, b])
+                first = dict(zip(hashes[s:t][::-1].tolist(), (places[s:t][::-1] - a).tolist()))
+                for ask in batch["asks"][number].as_py():
+                    at = ask["place"] if ask["place"] >= 0 else first.get(ask["hash"])
+                    if at is not None:
+                        before = words[max(0, at - SEED_WINDOW) : at][::-1]
+                        after = words[at + SEED_WORDS :][:SEED_WINDOW]
+                        doc = batch["doc"][number].as_py()
+                        rows.append((doc, ask["hash"], ask["place"], before, after))
+                a = b
+            if rows:
+                docs, found, asked, before, after = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(docs, pa.int64()),
+                        pa.array(found, pa.int64()),
+                        pa.array(asked, pa.int32()),
+                        _list_column(list(before), pa.int64()),
+                        _list_column(list(after), pa.int64()),
+                    ],
+                    ["doc", "hash", "place", "before", "after"],
+                )
+
+
 def runs(
-    sizes: list[int], lines: list[int], marked: set[int], marked_lines: set[int], least: int
+    sizes: list[int], pieces: list[tuple[int, int, int]], least: int
 ) -> list[tuple[int, int, int]]:
-    """First word, words and first sentence of each run of marked sentences that is long enough.
+    """First word, words and kept row of each run of pieces that is long enough.
 
-    Sentences of under five words do not end a run and belong to it if it goes on.
+    A piece has its first word, the place after its last, and the kept row. Sentences of under
+    five words do not end a run and belong to it if it goes on.
     """
-    found = []
-    first, first_word, words, pending = -1, 0, 0, 0
-    at = 0
-    for k, size in enumerate([*sizes, 1 << 30]):
-        if k < len(sizes) and (k in marked or lines[k] in marked_lines):
-            if first < 0:
-                first, first_word, words, pending = k, at, 0, 0
-            words += pending + size
-            pending = 0
-        elif first >= 0 and size < SHINGLE_WORDS:
-            pending += size
-        elif first >= 0:
-            if words >= least:
-                found.append((first_word, words, first))
-            first = -1
-        at += size
-    return found
+    starts = [0, *accumulate(sizes)]
+
+    def short(first: int, stop: int) -> bool:
+        k = bisect_right(starts, first) - 1
+        while starts[k] < stop:
+            if sizes[k] >= SHINGLE_WORDS:
+                return False
+            k += 1
+        return True
+
+    merged: list[list[int]] = []
+    for first, stop, kept in sorted(pieces):
+        if merged and (first <= merged[-1][1] or short(merged[-1][1], first)):
+            merged[-1][1] = max(merged[-1][1], stop)
+        else:
+            merged.append([first, stop, kept])
+    return [(a, b - a, kept) for a, b, kept in merged if b - a >= least]
 
 
 SPAN = "array<struct<first_word:bigint,n_words:bigint,kept_row:bigint>>"
 
 
+EDGE = "array<struct<hash:bigint,place:int,kept:bigint,left:boolean>>"
+
+
+def _edges():
+    """The first and the last of each row of seeds that leave no word between them."""
+
+    @F.arrow_udf(EDGE)
+    def made(marks: pa.Array) -> pa.Array:
+        out = []
+        for mark in marks.to_pylist():
+            seeds = sorted((m["at"], m["hash"], m["kept"]) for m in mark or [] if m["kind"] == SEED)
+            found = []
+            for k, (at, hash, kept) in enumerate(seeds):
+                edge = {"hash": hash, "place": at, "kept": kept}
+                if k == 0 or seeds[k - 1][0] + SEED_WORDS < at:
+                    found.append(edge | {"left": True})
+                if k + 1 == len(seeds) or at + SEED_WORDS < seeds[k + 1][0]:
+                    found.append(edge | {"left": False})
+            out.append(found)
+        kind = [("hash", pa.int64()), ("place", pa.int32()), ("kept", pa.int64()), ("left", pa.bool_())]
+        return pa.array(out, pa.list_(pa.struct(kind)))
+
+    return made
+
+
 def _spans(least: int):
     @F.arrow_udf(SPAN)
     def made(
         sizes: pa.Array, lines: pa.Array, again: pa.Array, marks: pa.Array, line_marks: pa.Array,
-        row: pa.Array,
+        extents: pa.Array, row: pa.Array,
     ) -> pa.Array:
         out = []
-        for size, line, repeat, mark, line_mark, own in zip(
-            *(x.to_pylist() for x in (sizes, lines, again, marks, line_marks, row))
+        for size, line, repeat, mark, line_mark, extent, own in zip(
+            *(x.to_pylist() for x in (sizes, lines, again, marks, line_marks, extents, row))
         ):
-            kept = {m["at"]: m["kept"] for m in mark or []}
+            kept = {m["at"]: m["kept"] for m in mark or [] if m["kind"] == SENTENCE}
             kept_lines = {m["at"]: m["kept"] for m in line_mark or []}
             for k, (n, r) in enumerate(zip(size, repeat)):
                 if r and n >= SHINGLE_WORDS:
                     kept.setdefault(k, own)
-            found = runs(size, line, set(kept), set(kept_lines), least)
+            pieces = [
+                (m["at"], m["at"] + SEED_WORDS, m["kept"])
+                for m in mark or []
+                if m["kind"] == SEED
+            ]
+            for e in extent or []:
+                first, stop = e["place"], e["place"] + SEED_WORDS
+                if e["left"]:
+                    pieces.append((first - e["n"], stop, e["kept"]))
+                else:
+                    pieces.append((first, stop + e["n"], e["kept"]))
+            at = 0
+            for k, n in enumerate(size):
+                if k in kept or line[k] in kept_lines:
+                    pieces.append((at, at + n, kept.get(k, kept_lines.get(line[k]))))
+                at += n
             out.append(
                 [
-                    {
-                        "first_word": at,
-                        "n_words": words,
-                        "kept_row": kept.get(first, kept_lines.get(line[first])),
-                    }
-                    for at, words, first in found
+                    {"first_word": first, "n_words": words, "kept_row": keeper}
+                    for first, words, keeper in runs(size, pieces, least)
                 ]
             )
         kind = pa.struct(
@@ -247,6 +365,44 @@ def _spans(least: int):
     return made
 
 
+def _extents(marked: DataFrame, units: DataFrame, source: DataFrame) -> DataFrame:
+    """row, place, left, kept, n: by how many words a passage goes on beside its outer seed."""
+    doc = F.xxhash64("id", "text_key")
+    edges = marked.select("row", doc.alias("doc"), F.explode(_edges()("marks")).alias("e"))
+    keepers = units.select(F.col("row").alias("kept"), doc.alias("kept_doc"))
+    edges = cut(edges.select("row", "doc", "e.*").join(keepers, "kept"))
+    asks = edges.select("doc", "hash", "place").unionByName(
+        edges.select(F.col("kept_doc").alias("doc"), "hash", F.lit(-1).alias("place"))
+    )
+    wanted = cut(asks.groupBy("doc").agg(F.collect_set(F.struct("hash", "place")).alias("asks")))
+    if wanted.count() <= FEW_CONTEXTS:
+        wanted = F.broadcast(wanted)
+    contexts = cut(
+        source.select(doc.alias("doc"), "text")
+        .join(wanted, "doc")
+        .mapInArrow(
+            _contexts,
+            "doc bigint, hash bigint, place int, before array<bigint>, after array<bigint>",
+        )
+        .dropDuplicates(["doc", "hash", "place"])
+    )
+    theirs = contexts.where("place < 0").select(
+        F.col("doc").alias("kept_doc"), "hash", F.struct("before", "after").alias("y")
+    )
+    if theirs.count() <= FEW_CONTEXTS:
+        theirs = F.broadcast(theirs)
+    mine = contexts.select("doc", "hash", "place", F.struct("before", "after").alias("x"))
+    both = edges.join(mine, ["doc", "hash", "place"]).join(theirs, ["kept_doc", "hash"])
+
+    def side(name: str) -> Column:
+        return F.when(F.col("left"), F.col(f"{name}.before")).otherwise(F.col(f"{name}.after"))
+
+    equal = F.zip_with(side("x"), side("y"), lambda a, b: a.eqNullSafe(b))
+    other = F.array_position(equal, False)
+    n = F.when(other == 0, F.size(equal)).otherwise(other - 1).cast("int")
+    return both.select("row", "place", "left", "kept", n.alias("n")).where("n > 0")
+
+
 def _near_lines(units: DataFrame, source: DataFrame) -> DataFrame:
     """row, line, kept of paragraphs that are near copies of one in another document."""
     lines = units.select(
@@ -322,33 +478,50 @@ def find_repeats(
             _units,
             f"id {kind}, text_key bigint, hashes array<bigint>, sizes array<int>,"
             " again array<boolean>, lines array<int>, long array<int>,"
-            " long_hashes array<bigint>, bands array<bigint>",
+            " long_hashes array<bigint>, bands array<bigint>, places array<int>,"
+            " seeds array<bigint>",
         ).withColumn("row", F.monotonically_increasing_id())
     )
-    sentences = units.select(
-        "row", F.posexplode(F.arrays_zip("hashes", "sizes")).alias("at", "x")
-    ).where(F.col("x.sizes") >= SHINGLE_WORDS)
-    sentences = sentences.select("row", "at", F.col("x.hashes").alias("hash"))
+
+    def stretches(kind: int, at: Column, hashes: str) -> DataFrame:
+        found = F.posexplode(F.arrays_zip(at.alias("at"), F.col(hashes).alias("hash")))
+        rows = units.select("row", found.alias("k", "x"))
+        return rows.select("row", F.lit(kind).alias("kind"), "k", "x.*")
+
+    sentences = stretches(SENTENCE, F.col("sizes"), "hashes").where(F.col("at") >= SHINGLE_WORDS)
+    stretch = (
+        sentences.withColumn("at", F.col("k"))
+        .unionByName(stretches(SEED, F.col("places"), "seeds"))
+        .drop("k")
+    )
     repeated = (
-        sentences.groupBy("hash")
+        stretch.groupBy("hash")
         .agg(F.min("row").alias("kept"), F.max("row").alias("last"))
         .where("kept < last")
         .select("hash", "kept")
     )
     marks = (
-        sentences.join(repeated.hint("shuffle_hash"), "hash")
+        stretch.join(repeated.hint("shuffle_hash"), "hash")
         .where("row <> kept")
         .groupBy("row")
-        .agg(F.collect_list(F.struct("at", "kept")).alias("marks"))
+        .agg(F.collect_list(F.struct("kind", "at", "kept", "hash")).alias("marks"))
     )
     line_marks = (
         _near_lines(units, source)
         .groupBy("row")
         .agg(F.collect_list(F.struct("at", "kept")).alias("line_marks"))
     )
+    marks = cut(marks)
+    seeded = marks.where(F.exists("marks", lambda m: m["kind"] == SEED))
+    extents = (
+        _extents(seeded.join(units.select("row", "id", "text_key"), "row"), units, source)
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("place", "left", "kept", "n")).alias("extents"))
+    )
     marked = (
         units.select("row", "id", "text_key", "sizes", "lines", "again")
         .join(marks, "row", "left")
+        .join(extents, "row", "left")
         .join(line_marks, "row", "left")
         .where("marks IS NOT NULL OR line_marks IS NOT NULL OR array_contains(again, true)")
     )
@@ -356,7 +529,9 @@ def find_repeats(
         "row",
         "id",
         "text_key",
-        F.explode(_spans(least)("sizes", "lines", "again", "marks", "line_marks", "row")).alias("s"),
+        F.explode(
+            _spans(least)("sizes", "lines", "again", "marks", "line_marks", "extents", "row")
+        ).alias("s"),
     ).select("row", "id", "text_key", "s.*")
     keepers = units.select(F.col("row").alias("kept_row"), F.col("id").alias("kept"))
     return spans.join(keepers, "kept_row").select(

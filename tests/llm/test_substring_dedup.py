@@ -58,3 +58,39 @@ def test_repeated_rows_and_empty_table(make):
     docs = make([(1, text), (1, text), (None, prose(8, 60))])
     assert [r.n_words for r in s.find_repeats(docs).collect()] == [60]
     assert s.find_repeats(docs.limit(0)).count() == 0
+
+
+def plain(seed, n):
+    return prose(seed, n).replace(".", "")
+
+
+def test_passages_without_sentence_ends_go_whole(make):
+    passage = plain(1, 60)
+    texts = [f"{plain(k + 10, 30)} {passage} {plain(k + 50, 30)}" for k in range(4)]
+    texts.append(f"{plain(70, 7)} {plain(1, 60)}. {plain(71, 7)}")
+    found = sorted((r.first_word, r.n_words) for r in s.find_repeats(make(texts)).collect())
+    # One of the documents keeps the passage; its last word has a full stop in the last text.
+    assert len(found) == 4 and set(found) <= {(30, 60), (30, 59), (7, 59)}
+
+
+def test_no_run_of_fifty_words_stays_in_two_documents(make, given):
+    rows = [(r.doc_id, r.text) for r in given("documents").collect()]
+    rng = random.Random(4)
+    hard = [plain(5, 50), "a b c " * 40, prose(6, 120)]
+    rows += [
+        (10_000 + k, f"{plain(200 + k, rng.randint(0, 9))} {hard[k % 3]} {plain(300 + k, 8)}")
+        for k in range(12)
+    ]
+    docs = make(rows)
+    spans = {}
+    for r in s.find_repeats(docs).collect():
+        spans.setdefault(r.doc_id, []).append((r.first_word, r.n_words))
+    holds = {}
+    for r in docs.collect():
+        words = (r.text or "").encode().lower().split()
+        gone = [w for first, n in spans.get(r.doc_id, []) for w in range(first, first + n)]
+        gone = set(gone)
+        for k in range(len(words) - 49):
+            if not gone & set(range(k, k + 50)):
+                holds.setdefault(tuple(words[k : k + 50]), set()).add(r.doc_id)
+    assert [ids for ids in holds.values() if len(ids) > 1] == []
