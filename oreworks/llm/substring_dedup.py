@@ -3,10 +3,11 @@
 Paragraphs (lines) are compared by MinHash banding, tuned for recall: colliding ones are
 verified by the exact Jaccard similarity of their five-word runs and clustered by components,
 and one paragraph of each cluster stays. A passage that starts or ends inside a
-paragraph makes neither a near copy, so sentences and seeds are compared as well,
+paragraph makes neither a near copy, so paragraphs, sentences and seeds are compared as well,
 as they are. Seeds are runs of `SEED_WORDS` words, picked by the least hash of every
 `SEED_WINDOW` that follow each other, wherever sentences and lines end: equal passages of
-`SEED_WORDS + SEED_WINDOW - 1` words have a seed in common. From the outer ones the passage is
+`SEED_WORDS + SEED_WINDOW - 1` words have a seed in common. Sentences of under five words
+are compared as runs of them that reach `RUN_WORDS` words, one from each. From the outer ones the passage is
 extended word by word, as far as the kept document has the same words. What is removed is a
 run of all of these of at least `RUN_WORDS` words; sentences of under five words count only
 between others and within seeds.
@@ -41,7 +42,7 @@ FEW_CANDIDATES = 1_000_000
 #: Lists of words beside seeds (some 500 bytes each) up to which they are broadcast.
 FEW_CONTEXTS = 100_000
 #: What a hash in the table of equal stretches of words stands for.
-SENTENCE, SEED = 0, 1
+SENTENCE, LINE, SEED, SHORT = 0, 1, 2, 3
 
 
 def tune(similarity: float, recall: float, hashes: int) -> tuple[int, int]:
@@ -120,6 +121,21 @@ class Units:
         keep[1:] |= step[1:] != step[:-1]
         return places[keep], hashes[keep]
 
+    def short_runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """From each sentence of under five words on, the shortest run of such sentences that
+        has RUN_WORDS words: its first sentence and its hash."""
+        firsts = self.sentence_first
+        stops = np.append(firsts[1:], self.n)[: len(firsts)]
+        last = np.searchsorted(stops, firsts + RUN_WORDS)
+        found = np.flatnonzero(last < len(firsts))
+        last = last[found]
+        others = np.append(0, np.cumsum(stops - firsts >= SHINGLE_WORDS))
+        fits = (others[last + 1] == others[found]) & (
+            self.text[firsts[last]] == self.text[firsts[found]]
+        )
+        found, last = found[fits], last[fits]
+        return found, self._stretches(firsts[found], stops[last])
+
     def shingles(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of runs of words within a paragraph, and their paragraph."""
         if self.n < SHINGLE_WORDS:
@@ -175,18 +191,20 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             places, seeds = units.seeds()
             seeds_by_text = np.searchsorted(places, units.cuts)
             by_text = np.searchsorted(units.sentence_first, units.cuts)
+            short, short_hashes = units.short_runs()
+            short_by_text = np.searchsorted(short, by_text)
             lines_by_text = np.searchsorted(units.line_first, units.cuts)
             long_by_text = np.searchsorted(long, lines_by_text)
             columns: dict[str, list[np.ndarray]] = {
                 c: []
                 for c in (
                     "hashes", "sizes", "again", "lines", "long", "long_hashes", "bands", "places",
-                    "seeds",
+                    "seeds", "short", "short_hashes",
                 )
             }
-            a = p = q = t = word = 0
-            for b, q2, p2, t2, word2 in zip(
-                by_text, long_by_text, lines_by_text, seeds_by_text, units.cuts
+            a = p = q = t = word = u = 0
+            for b, q2, p2, t2, word2, u2 in zip(
+                by_text, long_by_text, lines_by_text, seeds_by_text, units.cuts, short_by_text
             ):
                 columns["hashes"].append(hashes[a:b])
                 columns["sizes"].append(sizes[a:b])
@@ -197,10 +215,12 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 columns["bands"].append(keys[q:q2].reshape(-1))
                 columns["places"].append(places[t:t2] - word)
                 columns["seeds"].append(seeds[t:t2])
-                a, p, q, t, word = b, p2, q2, t2, word2
+                columns["short"].append(short[u:u2] - a)
+                columns["short_hashes"].append(short_hashes[u:u2])
+                a, p, q, t, word, u = b, p2, q2, t2, word2, u2
             picked = batch.take(pa.array(numbers))
             kinds = {"hashes": pa.int64(), "again": pa.bool_(), "long_hashes": pa.int64()}
-            kinds["bands"] = kinds["seeds"] = pa.int64()
+            kinds["bands"] = kinds["seeds"] = kinds["short_hashes"] = pa.int64()
             yield pa.RecordBatch.from_arrays(
                 [picked["id"], picked["text_key"]]
                 + [_list_column(v, kinds.get(c, pa.int32())) for c, v in columns.items()],
@@ -332,6 +352,7 @@ def _spans(least: int):
         ):
             kept = {m["at"]: m["kept"] for m in mark or [] if m["kind"] == SENTENCE}
             kept_lines = {m["at"]: m["kept"] for m in line_mark or []}
+            kept_lines |= {m["at"]: m["kept"] for m in mark or [] if m["kind"] == LINE}
             for k, (n, r) in enumerate(zip(size, repeat)):
                 if r and n >= SHINGLE_WORDS:
                     kept.setdefault(k, own)
@@ -346,8 +367,12 @@ def _spans(least: int):
                     pieces.append((first - e["n"], stop, e["kept"]))
                 else:
                     pieces.append((first, stop + e["n"], e["kept"]))
+            short = {m["at"]: m["kept"] for m in mark or [] if m["kind"] == SHORT}
             at = 0
             for k, n in enumerate(size):
+                if k in short:
+                    words = next(x for x in accumulate(size[k:]) if x >= RUN_WORDS)
+                    pieces.append((at, at + words, short[k]))
                 if k in kept or line[k] in kept_lines:
                     pieces.append((at, at + n, kept.get(k, kept_lines.get(line[k]))))
                 at += n
@@ -479,7 +504,7 @@ def find_repeats(
             f"id {kind}, text_key bigint, hashes array<bigint>, sizes array<int>,"
             " again array<boolean>, lines array<int>, long array<int>,"
             " long_hashes array<bigint>, bands array<bigint>, places array<int>,"
-            " seeds array<bigint>",
+            " seeds array<bigint>, short array<int>, short_hashes array<bigint>",
         ).withColumn("row", F.monotonically_increasing_id())
     )
 
@@ -491,7 +516,9 @@ def find_repeats(
     sentences = stretches(SENTENCE, F.col("sizes"), "hashes").where(F.col("at") >= SHINGLE_WORDS)
     stretch = (
         sentences.withColumn("at", F.col("k"))
+        .unionByName(stretches(LINE, F.col("long"), "long_hashes"))
         .unionByName(stretches(SEED, F.col("places"), "seeds"))
+        .unionByName(stretches(SHORT, F.col("short"), "short_hashes"))
         .drop("k")
     )
     repeated = (

@@ -94,3 +94,19 @@ def test_no_run_of_fifty_words_stays_in_two_documents(make, given):
             if not gone & set(range(k, k + 50)):
                 holds.setdefault(tuple(words[k : k + 50]), set()).add(r.doc_id)
     assert [ids for ids in holds.values() if len(ids) > 1] == []
+
+
+def test_equal_paragraphs_of_short_sentences_and_lines_go(make):
+    words = plain(1, 66).split()
+    speech = ". ".join(" ".join(words[k : k + 3]) for k in range(0, 66, 3)) + "."
+    verse = "\n".join(" ".join(w[::-1] for w in words[k : k + 3]) for k in range(0, 66, 3))
+    short = ". ".join(" ".join(w * 2 for w in words[k : k + 3]) for k in range(0, 30, 3)) + "."
+    lines = "\n".join(" ".join(w * 3 for w in words[k : k + 3]) for k in range(0, 30, 3))
+    for passage in (speech, verse, short, lines):
+        texts = [
+            f"{prose(k + 10, 28)}\nx{k} y{k}\n{passage}\n{prose(k + 50, 30)}" for k in range(3)
+        ]
+        left = cleaned(make(texts))
+        assert sorted(len(t.split()) for t in left.values()) == [
+            60, 60, 60 + len(passage.split())
+        ]
