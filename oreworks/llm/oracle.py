@@ -106,5 +106,43 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, CAST(target AS DOUBLE)
   CAST(greatest(least(start + size, CAST(floor(target) AS BIGINT)) - start, 0)
     + greatest(least(start + size, CAST(floor(target) AS BIGINT) - source_size) - start, 0) AS BIGINT) AS taken
 FROM placed
+""",
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), spoken AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM spoken GROUP BY lang
+), grams AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM spoken, (VALUES (1), (2), (3)) t(k))
+), f AS (
+  SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 10
+), cuts AS (
+  SELECT lang, phrase, k AS words, a, cut, array_to_string(p[1 : cut], ' ') AS head,
+    array_to_string(p[cut + 1 :], ' ') AS tail
+  FROM (SELECT *, string_split(phrase, ' ') AS p, unnest(range(1, k)) AS cut FROM f WHERE k > 1)
+), scored AS (
+  SELECT c.lang, c.phrase, c.words, c.a, x.a AS l, y.a AS r,
+    CAST((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a) AS BIGINT) AS score, c.cut
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head
+    JOIN f y ON y.lang = c.lang AND y.phrase = c.tail
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_phrases AS (
+  SELECT lang, array_to_string(p[i : i + 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, string_split(phrase, ' ') AS p, a, unnest([1, 2]) AS i FROM f WHERE k = 3)
+  GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN inner_phrases i ON b.lang = i.lang AND b.phrase = i.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
 """,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from oreworks.llm import (
     chat_format,
+    collocations,
     decontamination,
     jaccard_join,
     language_id,
@@ -89,6 +90,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(read(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_token_counts,
@@ -101,6 +106,7 @@ def queries() -> dict[str, Query]:
         op8_chat_format,
         op9_quality_rules,
         op10_jaccard_join,
+        op11_collocations,
     ]
     return {query.__name__: query for query in found}
 
