@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import reduce
 from hashlib import blake2b
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +44,14 @@ IN_WORD = byte_class(PIECE_ENDS + BETWEEN_WORDS)
 IN_PIECE = byte_class(PIECE_ENDS)
 
 #: Bytes of text that are counted together before anything is sent.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Bytes of text for each bucket, and the least and greatest number of buckets.
 BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 32 << 20, 64, 1 << 16
 #: Bits of the bitmap for each run that may survive, and the least and greatest size. The
 #: bitmap is all that is broadcast: 32 MB at most. A full one only lets more through.
 BITS_A_SURVIVOR, LEAST_BITS, MOST_BITS = 4, 1 << 20, 1 << 28
+#: Phrases that are made and sent at a time.
+ROWS = 20_000
 #: Parts in which a language is ranked before the best of all parts are.
 RANK_PARTS = 256
 
@@ -88,10 +91,9 @@ class Chunk:
         kinds, at = np.unique(np.array(langs, dtype=object), return_inverse=True)
         seeds = [int.from_bytes(blake2b(k.encode(), digest_size=8).digest()) for k in kinds]
         seed = np.array(seeds, dtype=np.uint64)[at][self.text_of]
-        piece = np.cumsum(~IN_PIECE[self.data])[self.starts] if len(self.starts) else self.starts
+        piece = np.cumsum(~IN_PIECE[self.data], dtype=np.int32)[self.starts]
         # How many words of its piece begin with this one.
-        last = np.searchsorted(piece, piece, side="right") if len(piece) else piece
-        left = last - np.arange(len(piece))
+        left = np.searchsorted(piece, piece, side="right") - np.arange(len(piece))
         self.runs: list[tuple[np.ndarray, np.ndarray]] = []
         hashes = mix(words + seed)
         for n in range(1, max_words + 1):
@@ -276,33 +278,27 @@ def _count(max_words: int, buckets: int, slots: int, bitmap) -> Callable:
     """Text and count of each chunk's runs that the bitmap lets through; words: how many words
     the run has. Words 0: all word occurrences of the language."""
 
+    def found(chunk: Chunk, bits: np.ndarray) -> Iterator[tuple[str, str, int, int]]:
+        kinds, at = np.unique(np.array(chunk.langs, dtype=object), return_inverse=True)
+        total = np.bincount(at[chunk.text_of], minlength=len(kinds))
+        yield from ((lang, "", 0, int(n)) for lang, n in zip(kinds, total) if n)
+        for words, (first, hashes) in enumerate(chunk.runs, 1):
+            place = _bit(_bucket(hashes, buckets), _key(hashes), slots)
+            through = np.flatnonzero(bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
+            _, one, times = np.unique(hashes[through], return_index=True, return_counts=True)
+            one = first[through[one]]
+            for low in range(0, len(one), ROWS):
+                for k, n in zip(one[low : low + ROWS].tolist(), times[low : low + ROWS].tolist()):
+                    yield chunk.langs[chunk.text_of[k]], chunk.phrase(k, words), words, n
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, dtype=np.uint8)
+        types = [pa.string(), pa.string(), pa.int32(), pa.int64()]
         for chunk in _chunks(batches, max_words):
-            names = np.array(chunk.langs, dtype=object)
-            rows: list[tuple[str, str, int, int]] = []
-            kinds, at = np.unique(names, return_inverse=True)
-            total = np.bincount(at[chunk.text_of], minlength=len(kinds))
-            rows += [(k, "", 0, int(n)) for k, n in zip(kinds, total) if n]
-            for n, (first, hashes) in enumerate(chunk.runs, 1):
-                if not len(hashes):
-                    continue
-                place = _bit(_bucket(hashes, buckets), _key(hashes), slots)
-                through = np.flatnonzero(bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
-                _, one, times = np.unique(
-                    hashes[through], return_index=True, return_counts=True
-                )
-                for k, many in zip(first[through[one]].tolist(), times.tolist()):
-                    rows.append((chunk.langs[chunk.text_of[k]], chunk.phrase(k, n), n, many))
-            for low in range(0, len(rows), 20_000):
-                columns = zip(*rows[low : low + 20_000])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(c, t)
-                        for c, t in zip(columns, [pa.string(), pa.string(), pa.int32(), pa.int64()])
-                    ],
-                    ["lang", "phrase", "words", "n"],
-                )
+            rows = found(chunk, bits)
+            while part := list(islice(rows, ROWS)):
+                columns = [pa.array(column, kind) for column, kind in zip(zip(*part), types)]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "n"])
 
     return count
 
