@@ -144,5 +144,40 @@ WITH pieces AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
   phrase, a, l, r, n, score
 FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+""",
+    "op13_prefix_trie": r"""
+WITH talks AS (
+  SELECT conv_id,
+    list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), borrowing AS (
+  SELECT conv_id, turns, CAST(xor(list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::UBIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[],
+      lambda x, _: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))
+  ), 4294967295::UBIGINT) % 9 AS BIGINT) AS h
+  FROM talks
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1 : c.h], c.turns[c.h + 1 :]) AS turns
+  FROM borrowing c LEFT JOIN talks b ON b.conv_id = c.conv_id - c.conv_id % 5
+), starts AS (
+  SELECT conv_id, len(turns) AS length, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt
+), nodes AS (
+  SELECT turns[1 : depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256
+  FROM starts GROUP BY ALL
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.n_children, 0) AS n_children,
+    CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * strlen(n.node[n.depth].text) END AS saved
+  FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[1 : n.depth - 1]
+    LEFT JOIN (SELECT node[1 : depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL) c
+      ON c.node = n.node
+), above AS (
+  SELECT node[1 : top] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS top FROM linked) GROUP BY ALL
+)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, CAST(n_children AS BIGINT) AS n_children,
+  n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM linked JOIN above USING (node)
 """,
 }

@@ -18,6 +18,7 @@ from oreworks.llm import (
     lm_scoring,
     mixing,
     oracle,
+    prefix_trie,
     quality_rules,
     substring_dedup,
     token_counts,
@@ -94,6 +95,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(read(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_token_counts,
@@ -107,6 +112,7 @@ def queries() -> dict[str, Query]:
         op9_quality_rules,
         op10_jaccard_join,
         op11_collocations,
+        op13_prefix_trie,
     ]
     return {query.__name__: query for query in found}
 
