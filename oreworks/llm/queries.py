@@ -19,6 +19,7 @@ from oreworks.llm import (
     mixing,
     oracle,
     prefix_trie,
+    quality_neighbours,
     quality_rules,
     substring_dedup,
     token_counts,
@@ -95,6 +96,16 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(read(spark, sf_dir, "documents"))
 
 
+def op12_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = language_id.held_out("doc_id", 5, 0)
+    learned = docs.where(~held_out).join(
+        labels.select("doc_id", F.col("quality").alias("label")), "doc_id"
+    )
+    found = quality_neighbours.classify(docs, quality_neighbours.fit(learned), 0.3)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(read(spark, sf_dir, "conversations")).drop("node", "parent")
 
@@ -112,6 +123,7 @@ def queries() -> dict[str, Query]:
         op9_quality_rules,
         op10_jaccard_join,
         op11_collocations,
+        op12_quality_neighbours,
         op13_prefix_trie,
     ]
     return {query.__name__: query for query in found}
