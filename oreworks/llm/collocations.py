@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from oreworks.llm.lineage import cut
+from oreworks.llm.lineage import cut, release
 from oreworks.llm.rows import sized
 from oreworks.llm.words import byte_class, hash_words, mix, text_bytes
 
@@ -338,6 +338,8 @@ def frequent_runs(
     for row in slices.collect():
         at = row["bucket"] * slots // 8
         bitmap[at : at + len(row["bits"])] = row["bits"]
+    del dealt, slices
+    release(spark)
     shared = spark.sparkContext.broadcast(bytes(bitmap))
     counted = rows.mapInArrow(
         _count(max_words, buckets, slots, shared), "lang string, phrase string, words int, n bigint"

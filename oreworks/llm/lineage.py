@@ -4,16 +4,24 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete what queries without a reference have shuffled and kept.
+
+    It does so when the driver's garbage is collected, which would otherwise happen only when
+    the driver runs short of memory.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def cut(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the checkpoint folder that all executors share.
 
     The folder is the session's (spark.checkpoint.dir). Only where none is set, it lies below
-    the warehouse, which is shared as well. What earlier steps have shuffled and kept is then
-    out of use; collecting the driver's garbage makes Spark delete it, which it would
-    otherwise do only when the driver runs short of memory.
+    the warehouse, which is shared as well. What earlier steps have shuffled is then out of use.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -21,6 +29,5 @@ def cut(df: DataFrame) -> DataFrame:
         context.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
     done = df.checkpoint(eager=True)
     del df
-    gc.collect()
-    context._jvm.System.gc()
+    release(spark)
     return done
