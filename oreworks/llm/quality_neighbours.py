@@ -34,15 +34,15 @@ from oreworks.llm.words import (
 #: Labelled texts that vote, at most about so many.
 LABELLED = 8_192
 #: Columns for words, and for everything else.
-WORDS, STYLE = 1 << 13, 1 << 12
+WORDS, STYLE = 1 << 12, 1 << 12
 COLUMNS = WORDS + STYLE
 #: What words weigh beside the rest.
 WORD_WEIGHT = 0.5
-DIMENSIONS, SPARE, ROUNDS = 64, 16, 4
+DIMENSIONS, SPARE, ROUNDS = 32, 8, 4
 NEIGHBOURS, POWER = 32, 8
 SEED = 11
 #: Parts that the labelled texts are worked on in, and texts that are compared at a time.
-PARTS, BLOCK = 16, 256
+PARTS, BLOCK = 8, 256
 #: Score of a text if there is no label to learn from.
 UNLEARNED = 0.5
 
