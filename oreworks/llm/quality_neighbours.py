@@ -38,7 +38,7 @@ WORDS, STYLE = 1 << 12, 1 << 12
 COLUMNS = WORDS + STYLE
 #: What words weigh beside the rest.
 WORD_WEIGHT = 0.5
-DIMENSIONS, SPARE, ROUNDS = 32, 8, 4
+DIMENSIONS, SPARE, ROUNDS = 48, 16, 5
 NEIGHBOURS, POWER = 32, 8
 SEED = 11
 #: Parts that the labelled texts are worked on in, and texts that are compared at a time.
@@ -267,21 +267,23 @@ def fit(
         .mapInArrow(_bags, "label int, terms binary, counts binary")
     )
     sums = "part binary, texts bigint"
-    found = bags.mapInArrow(_texts_with, sums).collect()
+    # However many partitions there are, the driver adds up few parts.
+    parts = bags.coalesce(PARTS)
+    found = parts.mapInArrow(_texts_with, sums).collect()
     texts = sum(r["texts"] for r in found)
     many = sum(np.frombuffer(r["part"], dtype=np.int64) for r in found)
     idf = np.log((1 + texts) / (1 + many)) + 0.1
     base = np.random.Generator(np.random.PCG64(SEED)).normal(size=(COLUMNS, dimensions + SPARE))
     base = np.linalg.qr(base)[0].astype(np.float32)
     for turn in range(ROUNDS):
-        parts = bags.mapInArrow(_times(idf, base), sums).collect()
-        image = sum(np.frombuffer(r["part"], "<f4").reshape(base.shape).astype(float) for r in parts)
+        found = parts.mapInArrow(_times(idf, base), sums).collect()
+        image = sum(np.frombuffer(r["part"], "<f4").reshape(base.shape).astype(float) for r in found)
         if turn < ROUNDS - 1:
             base = np.linalg.qr(image)[0].astype(np.float32)
     # Within the last subspace, the directions in which the texts differ most.
     turned = np.linalg.eigh(base.T.astype(float) @ image)[1][:, ::-1][:, :dimensions]
     base = (base @ turned).astype(np.float32)
-    rows = bags.mapInArrow(_vectors(idf, base), "label int, vector binary").collect()
+    rows = parts.mapInArrow(_vectors(idf, base), "label int, vector binary").collect()
     vectors = np.array([np.frombuffer(r["vector"], "<f4") for r in rows]).reshape(-1, dimensions)
     labels = np.array([r["label"] for r in rows], dtype=np.float64)
     return Model(idf, base, vectors, labels, float(labels.mean()))
