@@ -383,9 +383,9 @@ def _scored(runs: DataFrame) -> DataFrame:
             ).alias("rest"),
         )
     )
-    known = sized(counts)
-    left = known.select("lang", F.col("phrase").alias("first"), F.col("n").alias("l"))
-    right = known.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r"))
+    # Counts of phrases have no bound: Spark broadcasts them only if their bytes are few.
+    left = counts.select("lang", F.col("phrase").alias("first"), F.col("n").alias("l"))
+    right = counts.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r"))
     joined = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"])
     scored = joined.withColumn("score", _exact_score(F.col("a"), F.col("l"), F.col("r")))
     best = scored.groupBy("lang", "phrase", "words", "a").agg(
