@@ -455,6 +455,24 @@ _ORACLE = {
         SELECT *, DATE '2024-01-01' AS valid_from, CAST(NULL AS date) AS valid_to,
           true AS is_current FROM first_feed""",
     "scd2_apply": _SCD2,
+    "gold_merge_scd1": _SCD1,
+    "gold_merge_scd2": _SCD2,
+    "scd1_null_key": f"""
+        SELECT nullif(customer_id, '7') AS customer_id, customer_name, state, was_insert
+        FROM ({_SCD1})""",
+    "scd2_null_key": f"""
+        SELECT nullif(customer_id, '7') AS customer_id, * EXCLUDE (customer_id) FROM ({_SCD2})""",
+    "scd2_late_changes": """
+        SELECT customer_id, payment_method, valid_from,
+          lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current
+        FROM (
+          SELECT * FROM (
+            SELECT o_custkey AS customer_id, CAST(o_orderdate AS date) AS valid_from,
+              max(o_orderpriority) AS payment_method
+            FROM orders GROUP BY ALL)
+          QUALIFY lag(payment_method) OVER (PARTITION BY customer_id ORDER BY valid_from)
+            IS DISTINCT FROM payment_method)
+        WINDOW w AS (PARTITION BY customer_id ORDER BY valid_from)""",
 }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from oreworks import schemas, sinks, sources
 from oreworks.catalogue.inputs import Inputs
 from oreworks.catalogue.scratch import scratch_lake, scratch_root
 from oreworks.operators.quality import largest_partitions
-from oreworks.plans import BRONZE, SILVER, build_lake, ingest_bronze
+from oreworks.plans import BRONZE, SILVER, GoldSpec, build_gold, build_lake, ingest_bronze
 from oreworks.plans.tables import bucket_orders, split_order_date
 from oreworks.sinks import Layout, append_table, replace_table, upsert_table
 
@@ -527,5 +528,76 @@ def scd2_apply(t: Inputs) -> DataFrame:
     return _days(op.scd2_apply(dimension, batch, ["customer_id"], _at(CHANGED)))
 
 
+def _merged_gold(t: Inputs, scd_type: int) -> DataFrame:
+    """A dimension by state, built from the first feed and merged with the second."""
+    lake = scratch_lake(t.spark)
+    spec = GoldSpec(
+        "customers_by_state",
+        (),
+        lambda sources, as_of: _first_feed(t).select(*_ATTRIBUTES),
+        keys=("customer_id",),
+        scd_type=scd_type,
+        layout=Layout(partition_by=("state",)),
+    )
+    build_gold(t.spark, lake, spec, _at(LOADED))
+    second = replace(
+        spec, logic=lambda sources, as_of: _second_feed(t).select(*_ATTRIBUTES), mode="merge"
+    )
+    build_gold(t.spark, lake, second, _at(CHANGED))
+    return t.spark.table(lake.table("gold", spec.table))
+
+
+@_register
+def gold_merge_scd1(t: Inputs) -> DataFrame:
+    return _merged_gold(t, 1).select(
+        *_ATTRIBUTES,
+        (F.col("created_at") == _at(CHANGED)).alias("was_insert"),
+        (F.col("updated_at") == _at(CHANGED)).alias("was_in_batch"),
+    )
+
+
+@_register
+def gold_merge_scd2(t: Inputs) -> DataFrame:
+    return _days(_merged_gold(t, 2))
+
+
+def _without_one_key(df: DataFrame) -> DataFrame:
+    """The feed, with NULL for the key of one customer."""
+    return df.withColumn("customer_id", F.nullif("customer_id", F.lit("7")))
+
+
+@_register
+def scd1_null_key(t: Inputs) -> DataFrame:
+    """The same delivery twice, with a customer whose key is NULL."""
+    first, second = (_without_one_key(f(t).select(*_ATTRIBUTES)) for f in (_first_feed, _second_feed))
+    dimension = op.scd1_stamp(first, _at(LOADED))
+    for _ in range(2):
+        dimension = op.scd1_apply(dimension, second, ["customer_id"], _at(CHANGED))
+    return dimension.select(*_ATTRIBUTES, (F.col("created_at") == _at(CHANGED)).alias("was_insert"))
+
+
+@_register
+def scd2_null_key(t: Inputs) -> DataFrame:
+    first, second = (_without_one_key(f(t).select(*_ATTRIBUTES)) for f in (_first_feed, _second_feed))
+    dimension = op.scd2_stamp(first, _at(LOADED))
+    for _ in range(2):
+        dimension = op.scd2_apply(dimension, second, ["customer_id"], _at(CHANGED))
+    return _days(dimension)
+
+
+@_register
+def scd2_late_changes(t: Inputs) -> DataFrame:
+    """Orders as changes of a customer's way of paying, the newer delivered before the older."""
+    orders = t.given("orders").select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderpriority").alias("payment_method"),
+        F.to_date("o_orderdate").alias("since"),
+    )
+    dimension = op.scd2_stamp(orders.drop("since").limit(0), _at(LOADED))
+    for part in ("since >= date'1997-01-01'", "since < date'1995-01-01'", "true"):
+        dimension = op.scd2_insert(dimension, orders.filter(part), ["customer_id"], "since")
+    return _days(dimension)
+
+
 def _days(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.to_date(c) for c in ("valid_from", "valid_to")})

@@ -9,7 +9,7 @@ from oreworks.operators.clean import (
     reject_counts,
     without_nulls,
 )
-from oreworks.operators.dedup import dedup_by_key, require_unique_keys
+from oreworks.operators.dedup import dedup_by_key, require_unique_keys, unique_by_key
 from oreworks.operators.quality import (
     duplicate_report,
     null_report,
@@ -25,7 +25,7 @@ from oreworks.operators.reports import (
     sales_trend,
     source_distribution,
 )
-from oreworks.operators.scd import scd1_apply, scd1_stamp, scd2_apply, scd2_stamp
+from oreworks.operators.scd import scd1_apply, scd1_stamp, scd2_apply, scd2_insert, scd2_stamp
 from oreworks.operators.star import (
     dim_customers,
     dim_date,
@@ -62,12 +62,14 @@ __all__ = [
     "scd1_apply",
     "scd1_stamp",
     "scd2_apply",
+    "scd2_insert",
     "scd2_stamp",
     "skew_stats",
     "skewed_partitions",
     "source_distribution",
     "unify_orders",
     "union_by_name",
+    "unique_by_key",
     "upsert",
     "value_range_report",
     "without_keys",

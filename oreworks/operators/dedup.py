@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,16 +40,20 @@ def dedup_by_key(
 
 
 def require_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Fail if two rows share a key; keys with a NULL match nothing and may repeat.
+    """Fail if two rows share a key. NULLs in keys equal each other, as in merges.
 
     Runs a job that reads the key columns only and shuffles them pre-counted.
     """
-    known = reduce(lambda rows, k: rows.filter(F.col(k).isNotNull()), keys, df)
-    repeated = (
-        known.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-    )
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     example = repeated.first()
     if example:
         raise DuplicateKeys(f"keys {list(keys)} are not unique, for example {example}")
+
+
+def unique_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows, as keys and a struct ``row`` of all other columns. The query that uses them
+    fails if two share a key, NULLs being equal; no job of its own is needed."""
+    rest = F.struct(*[c for c in df.columns if c not in keys])
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.first(rest).alias("row"))
+    refused = F.raise_error(F.lit(f"keys {list(keys)} of the batch are not unique"))
+    return counted.select(*keys, F.when(F.col("n") == 1, F.col("row")).otherwise(refused).alias("row"))

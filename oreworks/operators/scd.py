@@ -3,8 +3,10 @@
 Both apply functions join the (wide) dimension once with the batch, as a left join,
 and the batch once with the dimension's keys. A small batch is broadcast and leaves
 the dimension unshuffled; with a large one, adaptive execution splits hot keys, which
-it could not do in a full outer join. Batches must have unique keys
-(``require_unique_keys``) and no column that the dimension lacks. NULL keys equal each other.
+it could not do in a full outer join. NULL keys equal each other. A batch that repeats a
+key makes the query fail, and columns that the dimension lacks are refused.
+
+``scd2_insert`` takes changes in any order of time and puts versions between others.
 """
 
 from __future__ import annotations
@@ -13,7 +15,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from oreworks.operators.dedup import unique_by_key
 from oreworks.operators.upsert import same_keys, without_keys
 
 HISTORY = ("valid_from", "valid_to", "is_current")
@@ -47,8 +51,7 @@ def scd1_apply(
         "created_at",
         F.when(matched, now).otherwise(F.col("updated_at")).alias("updated_at"),
     )
-    incoming = batch.select(*keys, *attributes)
-    inserted = scd1_stamp(without_keys(incoming, dimension, keys), now)
+    inserted = scd1_stamp(_unmatched(batch, dimension, keys, attributes), now)
     return updated.unionByName(inserted).select(*dimension.columns)
 
 
@@ -88,11 +91,73 @@ def scd2_apply(
         .select(*keys, F.explode(versions).alias("v"))
         .select(*keys, "v.row.*", *[f"v.{h}" for h in HISTORY])
     )
-    incoming = batch.select(*keys, *attributes)
-    inserted = scd2_stamp(without_keys(incoming, current, keys), now)
+    inserted = scd2_stamp(_unmatched(batch, current, keys, attributes), now)
     return past.unionByName(updated).unionByName(inserted)
 
 
+def scd2_insert(
+    dimension: DataFrame, changes: DataFrame, keys: Sequence[str], changed_at: str
+) -> DataFrame:
+    """Put dated changes into the history, whatever order they come in.
+
+    ``changed_at`` names the column of ``changes`` that tells from when on a row's attributes
+    hold; a key may change any number of times. The version in force at that time is split:
+    it ends there, and the new one lasts until the next known change or, where the version
+    it splits had an end, until that. A change before all versions lasts until the first. A
+    change at the very start of a version replaces its attributes; of changes of one key and
+    time the last by attributes counts. A version with the attributes of the one before it,
+    which it follows without a gap, is no version, so a change that comes later and lies between
+    the two lasts until the next one kept. Applying changes twice changes nothing.
+
+    Histories of other keys, and rows whose ``is_current`` is NULL, stay as they are and are
+    not sorted. Those that change are read in order, key by key, without being held.
+    """
+    attributes = [c for c in dimension.columns if c not in (*keys, *HISTORY)]
+    _require_known(dimension, changes.drop(changed_at))
+    row = F.struct(*attributes)
+    start = F.col(changed_at).cast("timestamp")
+    new = (
+        changes.filter(start.isNotNull())
+        .groupBy(*keys, start.alias("valid_from"))
+        .agg(F.max(row).alias("row"))
+    )
+    touched = new.select(*keys).distinct()
+    known = F.col("is_current").isNotNull()
+    histories = dimension.filter(known).alias("r")
+    versions = histories.join(touched.alias("o"), same_keys(keys), "left_semi").select(
+        *keys, "valid_from", row.alias("row"), "valid_to", F.lit(False).alias("is_new")
+    )
+    moments = versions.unionByName(
+        new.withColumns({"valid_to": F.lit(None).cast("timestamp"), "is_new": F.lit(True)})
+    )
+    in_time = Window.partitionBy(*keys).orderBy("valid_from", "is_new")
+    until_now = in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    # The end of the version in force, which a new one inside of it takes over.
+    end = F.last(F.when(~F.col("is_new"), F.struct("valid_to")), ignorenulls=True).over(until_now)
+    placed = moments.select(
+        *keys,
+        "valid_from",
+        "row",
+        F.when(F.col("valid_from") < end["valid_to"], end["valid_to"]).alias("valid_to"),
+        (F.lead("valid_from").over(in_time) == F.col("valid_from")).alias("replaced"),
+    ).filter("NOT coalesce(replaced, false)")
+    before = F.lag(F.struct("row", "valid_to")).over(in_order := Window.partitionBy(*keys).orderBy("valid_from"))
+    repeated = before["row"].eqNullSafe(F.col("row")) & F.coalesce(
+        before["valid_to"] >= F.col("valid_from"), F.lit(True)
+    )
+    following = F.lead("valid_from").over(in_order)
+    done = (
+        placed.withColumn("repeated", F.coalesce(repeated, F.lit(False)))
+        .filter("NOT repeated")
+        .withColumn("valid_to", F.least("valid_to", following))
+        .select(*keys, "row.*", "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"))
+    )
+    others = without_keys(dimension.filter(known), touched, keys)
+    unknown = dimension.filter(~known)
+    return others.unionByName(unknown).unionByName(done).select(*dimension.columns)
+
+
 def _open(now: Column) -> list[Column]:
     return [now, F.lit(None).cast("timestamp"), F.lit(True)]
 
@@ -105,11 +170,21 @@ def _with_incoming(
     dimension: DataFrame, batch: DataFrame, keys: Sequence[str], attributes: Sequence[str]
 ) -> DataFrame:
     """The dimension, with the batch's attributes as ``incoming``, NULL where unmatched."""
-    incoming = batch.select(*keys, F.struct(*attributes).alias("incoming"))
+    incoming = unique_by_key(batch.select(*keys, *attributes), keys).withColumnRenamed(
+        "row", "incoming"
+    )
     joined = dimension.alias("r").join(incoming.alias("o"), same_keys(keys), "left")
     return joined.select("r.*", "o.incoming")
 
 
+def _unmatched(
+    batch: DataFrame, dimension: DataFrame, keys: Sequence[str], attributes: Sequence[str]
+) -> DataFrame:
+    """The batch's rows of new keys."""
+    incoming = unique_by_key(batch.select(*keys, *attributes), keys)
+    return without_keys(incoming, dimension, keys).select(*keys, "row.*")
+
+
 def _require_known(dimension: DataFrame, batch: DataFrame) -> None:
     extra = [c for c in batch.columns if c not in dimension.columns]
     if extra:

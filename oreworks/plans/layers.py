@@ -24,6 +24,8 @@ from oreworks.sinks.tables import (
     MissingTable,
     Written,
     append_table,
+    in_session_catalog,
+    merge_rows,
     replace_table,
     upsert_table,
 )
@@ -208,5 +210,10 @@ def _merge_gold(
         raise MissingTable(f"table {name} does not exist; replace it first")
     require_unique_keys(rows, spec.keys)
     apply = scd2_apply if spec.scd_type == 2 else scd1_apply
-    merged = apply(spark.table(name), rows, spec.keys, as_of)
-    return replace_table(merged, name, spec.layout, provider)
+
+    def merged(table: DataFrame) -> DataFrame:
+        return apply(table, rows, spec.keys, as_of)
+
+    if in_session_catalog(spark, name):
+        return merge_rows(rows, name, spec.keys, merged, spec.layout)
+    return replace_table(merged(spark.table(name)), name, spec.layout, provider)

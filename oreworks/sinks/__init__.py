@@ -11,6 +11,7 @@ from oreworks.sinks.tables import (
     MissingTable,
     RowCountMismatch,
     append_table,
+    merge_rows,
     replace_table,
     upsert_table,
 )
@@ -21,6 +22,7 @@ __all__ = [
     "RowCountMismatch",
     "append_table",
     "layer_comparison",
+    "merge_rows",
     "replace_table",
     "table_columns",
     "table_details",

@@ -5,7 +5,8 @@ the session catalog, where tables are Parquet, a replaced or merged table is wri
 whole to a new directory, outside of any table's own, and counted there. Only then does the
 name move: a table of the same columns, without partitions, is pointed at the directory;
 otherwise the new version, complete under a name of its own, is renamed, after the old one
-has been set aside under `<name>__replaced`. A failed or retried write leaves the old
+has been set aside under `<name>__replaced`. A merge into a partitioned table writes only the
+partitions that it changes, and points these, one after the other, at their new files. A failed or retried write leaves the old
 table as it was; if the driver is lost between the two renames, the next replace puts the
 old table back first. Directories of old versions stay until someone removes them.
 """
@@ -14,19 +15,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
+from urllib.parse import unquote
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from oreworks.operators.dedup import require_unique_keys
-from oreworks.operators.upsert import only_new_keys, upsert
+from oreworks.operators.upsert import only_new_keys, same_keys, upsert
 
 PARQUET = "parquet"
 CLUSTER_PROPERTY = "oreworks.cluster_by"
 COMPRESSION_PROPERTY = "oreworks.compression"
 ASIDE = "__replaced"
+ASIDE_PROPERTY = "oreworks.set_aside"
 
 
 class MissingTable(ValueError):
@@ -136,14 +141,102 @@ def upsert_table(
     _require_table(spark, name)
     require_unique_keys(df, keys)
     if in_session_catalog(spark, name):
-        merged = upsert(spark.table(name), df, keys)
-        return replace_table(merged, name, layout or current_layout(spark, name))
+        return merge_rows(df, name, keys, lambda table: upsert(table, df, keys), layout)
     table = spark.table(name)
     before, inserted = table.count(), only_new_keys(df, table, keys).count()
     merge_into(df, name, keys)
     return _reconciled(name, before + inserted, spark.table(name).count())
 
 
+def merge_rows(
+    batch: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    merged: Callable[[DataFrame], DataFrame],
+    layout: Layout | None = None,
+) -> Written:
+    """Replace the rows of a table by ``merged`` of them, which may change only rows with a key
+    of the batch and add rows in partitions that the batch's rows lie in.
+
+    A probe of keys and partition columns alone, without other columns, finds the partitions
+    that hold a key of the batch. These, and those that the batch's rows go to, are written anew
+    and pointed to; all other files stay where they are. A table without partitions, with a
+    NULL or empty one among those values, or whose layout changes, is written whole. What is
+    returned counts the rows of what was written.
+    """
+    spark = batch.sparkSession
+    now = current_layout(spark, name)
+    columns = list(now.partition_by)
+    table = spark.table(name)
+    if not columns or (layout not in (None, now)) or any(c not in batch.columns for c in columns):
+        return replace_table(merged(table), name, layout or now)
+
+    held = table.select(*keys, *columns).alias("r").join(
+        batch.select(*keys).alias("o"), same_keys(keys), "left_semi"
+    )
+    touched = held.select(*columns).union(
+        batch.select(*[F.col(c).cast(table.schema[c].dataType) for c in columns])
+    )
+    values = [tuple(row) for row in touched.distinct().collect()]
+    if any(v is None or v == "" for row in values for v in row):
+        return replace_table(merged(table), name, now)
+    if not values:
+        return Written(name, 0, 0)
+    chosen = reduce(or_, [_in_partition(table, columns, row) for row in values])
+    return _replace_partitions(merged(table.where(chosen)), name, now, values)
+
+
+def _in_partition(table: DataFrame, columns: Sequence[str], values: Sequence) -> Column:
+    """Is a row in the partition? As plain comparisons, which prune the others' files."""
+    kinds = [table.schema[c].dataType for c in columns]
+    tests = [F.col(c) == F.lit(v).cast(k) for c, v, k in zip(columns, values, kinds)]
+    return reduce(and_, tests)
+
+
+def _replace_partitions(
+    df: DataFrame, name: str, layout: Layout, touched: Sequence[tuple]
+) -> Written:
+    """Write a new version of some partitions, count it, and point the table at it."""
+    spark = df.sparkSession
+    columns = list(layout.partition_by)
+    location = _new_version(spark, name)
+    expected, written = _write_version(layout.arrange(df), location, layout)
+    paths, actual = {}, 0
+    if expected:
+        shown = written.groupBy(*columns).agg(
+            F.min("_metadata.file_path").alias("path"), F.count(F.lit(1)).alias("n")
+        )
+        for *values, path, n in shown.collect():
+            paths[tuple(values)] = unquote(path.rsplit("/", 1)[0])
+            actual += n
+    done = _reconciled(name, expected, actual)
+    beyond = sorted(set(paths) - set(touched), key=str)
+    if beyond:
+        raise ValueError(f"{name}: rows for partitions that the batch has none in: {beyond}")
+    for values in touched:
+        part = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(columns, values))
+        known = _partition_exists(spark, name, part)
+        if values in paths:
+            place = _literal(paths[values])
+            if known:
+                spark.sql(f"ALTER TABLE {name} PARTITION ({part}) SET LOCATION {place}")
+            else:
+                spark.sql(f"ALTER TABLE {name} ADD PARTITION ({part}) LOCATION {place}")
+        elif known:
+            spark.sql(f"ALTER TABLE {name} DROP PARTITION ({part})")
+    spark.catalog.refreshTable(name)
+    return done
+
+
+def _partition_exists(spark: SparkSession, name: str, part: str) -> bool:
+    return not spark.sql(f"SHOW PARTITIONS {name} PARTITION ({part})").isEmpty()
+
+
+def _literal(value: object) -> str:
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def merge_into(df: DataFrame, name: str, keys: Sequence[str]) -> None:
     """The catalog's own merge: update what has the same key, insert the rest."""
     target = name.split(".")[-1]
@@ -183,21 +276,14 @@ def require_known_columns(df: DataFrame, known: Sequence[str]) -> None:
 
 def _replace_version(df: DataFrame, name: str, layout: Layout) -> Written:
     spark = df.sparkSession
-    schema, _, table = name.rpartition(".")
     aside = name + ASIDE
-    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(aside):
+    if not spark.catalog.tableExists(name) and _is_ours(spark, aside):
+        spark.sql(f"ALTER TABLE {aside} UNSET TBLPROPERTIES IF EXISTS ('{ASIDE_PROPERTY}')")
         spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
-    root = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
-    version = uuid4().hex
-    location = f"{root}/_versions/{table}/{version}"
-    expected = _observed(
-        df,
-        lambda rows: rows.write.option("compression", layout.compression)
-        .partitionBy(*layout.partition_by)
-        .parquet(location),
-    )
-    columns = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
-    done = _reconciled(name, expected, spark.read.schema(columns).parquet(location).count())
+    location = _new_version(spark, name)
+    expected, written = _write_version(df, location, layout)
+    columns = written.schema
+    done = _reconciled(name, expected, written.count())
 
     if _only_moves(spark, name, columns, layout):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
@@ -205,7 +291,7 @@ def _replace_version(df: DataFrame, name: str, layout: Layout) -> Written:
         spark.catalog.refreshTable(name)
         return done
 
-    following = f"{name}__{version}"
+    following = f"{name}__{location.rsplit('/', 1)[1]}"
     partitioned = ", ".join(f"`{c}`" for c in layout.partition_by)
     spark.sql(
         f"CREATE TABLE {following} ({columns.toDDL()}) USING {PARQUET}"
@@ -217,7 +303,8 @@ def _replace_version(df: DataFrame, name: str, layout: Layout) -> Written:
         spark.catalog.recoverPartitions(following)
     exists = spark.catalog.tableExists(name)
     if exists:
-        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        _drop_own_aside(spark, aside)
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{ASIDE_PROPERTY}' = 'true')")
         spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
     spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
     if exists:
@@ -225,6 +312,41 @@ def _replace_version(df: DataFrame, name: str, layout: Layout) -> Written:
     return done
 
 
+def _is_ours(spark: SparkSession, aside: str) -> bool:
+    """Is there such a table, written or set aside by a replace?"""
+    if not spark.catalog.tableExists(aside):
+        return False
+    told = {r["key"] for r in spark.sql(f"SHOW TBLPROPERTIES {aside}").collect()}
+    return bool(told & {ASIDE_PROPERTY, CLUSTER_PROPERTY})
+
+
+def _drop_own_aside(spark: SparkSession, aside: str) -> None:
+    """Drop what an earlier replace has set aside, but no table of somebody else's."""
+    if _is_ours(spark, aside):
+        spark.sql(f"DROP TABLE {aside}")
+    elif spark.catalog.tableExists(aside):
+        raise ValueError(f"table {aside} is in the way and was not set aside by a replace")
+
+
+def _new_version(spark: SparkSession, name: str) -> str:
+    """A new directory for files of a table, outside of any table's own."""
+    schema, _, table = name.rpartition(".")
+    root = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
+    return f"{root}/_versions/{table}/{uuid4().hex}"
+
+
+def _write_version(df: DataFrame, location: str, layout: Layout) -> tuple[int, DataFrame]:
+    """Rows that were written to the directory, and what is to be read there."""
+    expected = _observed(
+        df,
+        lambda rows: rows.write.option("compression", layout.compression)
+        .partitionBy(*layout.partition_by)
+        .parquet(location),
+    )
+    columns = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
+    return expected, df.sparkSession.read.schema(columns).parquet(location)
+
+
 def _properties(layout: Layout) -> str:
     return (
         f"'{CLUSTER_PROPERTY}' = '{','.join(layout.cluster_by)}',"

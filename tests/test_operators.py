@@ -75,10 +75,11 @@ def test_hot_key_against_brute_force(spark):
     assert report.total_rows == len(data) and report.unique_rows == len(best)
 
 
-def test_unique_keys_may_be_null(spark):
-    op.require_unique_keys(spark.createDataFrame([(None,), (None,), (1,)], "k int"), ["k"])
-    with pytest.raises(DuplicateKeys):
-        op.require_unique_keys(spark.createDataFrame([(1,), (1,)], "k int"), ["k"])
+def test_unique_keys_with_nulls(spark):
+    op.require_unique_keys(spark.createDataFrame([(None,), (1,)], "k int"), ["k"])
+    for repeated in ([(1,), (1,)], [(None,), (None,)]):
+        with pytest.raises(DuplicateKeys):
+            op.require_unique_keys(spark.createDataFrame(repeated, "k int"), ["k"])
 
 
 # Cleaning
@@ -151,6 +152,20 @@ def test_dimensions_repeat_no_null_keys_and_lose_no_rows(spark):
     assert op.scd2_apply(unknown, batch, ["k"], at(T1)).count() == 4
 
 
+@pytest.mark.parametrize("key", [None, 1])
+def test_dimensions_refuse_batches_that_repeat_a_key(spark, key):
+    one = spark.createDataFrame([(key, "a"), (7, "x")], "k int, v string")
+    two = spark.createDataFrame([(key, "b"), (key, "c")], "k int, v string")
+    for stamp, apply in ((op.scd1_stamp, op.scd1_apply), (op.scd2_stamp, op.scd2_apply)):
+        with pytest.raises(Exception, match="not unique"):
+            apply(stamp(one, at(T0)), two, ["k"], at(T1)).collect()
+        with pytest.raises(Exception, match="not unique"):
+            apply(stamp(one.limit(0), at(T0)), two, ["k"], at(T1)).collect()
+        # A batch with one such row may come any number of times.
+        once = apply(stamp(one, at(T0)), two.limit(1), ["k"], at(T1))
+        assert rows(apply(once, two.limit(1), ["k"], at(T1))) == rows(once)
+
+
 def test_dimensions_refuse_columns_they_lack(spark):
     batch = spark.createDataFrame([(1, "b", 2)], "k int, v string, extra int")
     narrow = batch.drop("extra")
@@ -229,6 +244,74 @@ def test_scd2_against_brute_force(spark):
             assert before[1] == after[0] and before[3] != after[3]
 
 
+def day(n):
+    return dt.datetime(2024, 1, n)
+
+
+def test_late_changes_split_intervals(spark):
+    schema = "k int, v string, valid_from timestamp, valid_to timestamp, is_current boolean"
+    dimension = spark.createDataFrame(
+        [
+            (1, "a", day(5), day(10), False),
+            (1, "b", day(10), None, True),
+            (2, "gone", day(1), day(4), False),
+            (3, "other", day(1), None, True),
+            (None, "n", day(1), None, True),
+            (1, "odd", day(1), None, None),
+        ],
+        schema,
+    )
+    changes = spark.createDataFrame(
+        [
+            (1, "c", day(7)),  # between two
+            (1, "first", day(2)),  # before all
+            (1, "last", day(20)),  # after all
+            (1, "b", day(12)),  # no change
+            (2, "inside", day(2)),  # of a version with an end
+            (2, "later", day(6)),  # after that end
+            (4, "new", day(3)),
+            (None, "m", day(5)),
+            (4, "new", day(9)),
+            (9, "undated", None),
+        ],
+        "k int, v string, since timestamp",
+    )
+    got = op.scd2_insert(dimension, changes, ["k"], "since")
+    assert got.columns == dimension.columns
+    want = [
+        (1, "first", day(2), day(5), False),
+        (1, "a", day(5), day(7), False),
+        (1, "c", day(7), day(10), False),
+        (1, "b", day(10), day(20), False),
+        (1, "last", day(20), None, True),
+        (2, "gone", day(1), day(2), False),
+        (2, "inside", day(2), day(4), False),
+        (2, "later", day(6), None, True),
+        (3, "other", day(1), None, True),
+        (4, "new", day(3), None, True),
+        (None, "n", day(1), day(5), False),
+        (None, "m", day(5), None, True),
+        (1, "odd", day(1), None, None),
+    ]
+    assert rows(got) == sorted(want, key=repr)
+    assert rows(op.scd2_insert(got, changes, ["k"], "since")) == sorted(want, key=repr)
+
+
+def test_many_changes_of_a_key_at_once(spark):
+    rng = random.Random(7)
+    changes = [(k, rng.choice("ab"), day(d)) for k in (1, 2) for d in rng.sample(range(1, 28), 5)]
+    schema = "k int, v string, since timestamp"
+    empty = op.scd2_stamp(spark.createDataFrame([], "k int, v string"), at(T0))
+    want = []
+    for k in (1, 2):
+        states = sorted((d, v) for key, v, d in changes if key == k)
+        kept = [s for n, s in enumerate(states) if n == 0 or states[n - 1][1] != s[1]]
+        ends = [d for d, _ in kept[1:]] + [None]
+        want += [(k, v, d, end, end is None) for (d, v), end in zip(kept, ends)]
+    at_once = op.scd2_insert(empty, spark.createDataFrame(changes, schema), ["k"], "since")
+    assert rows(at_once) == sorted(want, key=repr)
+
+
 # Facts
 
 

@@ -237,3 +237,64 @@ def test_unknown_columns_and_null_keys(spark, schema):
     done = sinks.append_table(rows, name, ["k"])
     assert (done.expected, done.actual) == (0, 0)
     assert spark.table(name).count() == 2
+
+
+def files_of(spark, name):
+    """Paths of a table's files by partition."""
+    found = {}
+    for p, path in spark.table(name).select("p", "_metadata.file_path").distinct().collect():
+        found.setdefault(p, set()).add(path)
+    return found
+
+
+def test_merges_write_only_the_partitions_they_change(spark, schema):
+    name = f"{schema}.t"
+    rows = [(k, f"a b/{k % 5}'", "old") for k in range(50)]
+    columns = "k int, p string, v string"
+    sinks.replace_table(
+        spark.createDataFrame(rows, columns), name, Layout(partition_by=("p",))
+    )
+    before = files_of(spark, name)
+    # One row changes in place, one moves, one comes to a new partition; one more stays.
+    batch = [(0, "a b/0'", "new"), (1, "a b/2'", "moved"), (99, "é=1", "first")]
+    written = sinks.upsert_table(spark.createDataFrame(batch, columns), name, ["k"])
+    want = [r for r in rows if r[0] > 1] + batch
+    assert values(spark, name, "k", "p", "v") == sorted(want, key=repr)
+    assert written.actual == written.expected == 31
+    after = files_of(spark, name)
+    for p in ("a b/3'", "a b/4'"):
+        assert after[p] == before[p]
+    for p in ("a b/0'", "a b/1'", "a b/2'"):
+        assert not after[p] & before[p]
+    assert set(after) - set(before) == {"é=1"}
+    assert current_layout(spark, name).partition_by == ("p",)
+
+
+def test_a_merge_may_empty_a_partition(spark, schema):
+    name = f"{schema}.t"
+    columns = "k int, p int, v string"
+    sinks.replace_table(
+        spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (None, 3, "n")], columns),
+        name,
+        Layout(partition_by=("p",)),
+    )
+    batch = spark.createDataFrame([(1, 2, "c"), (None, 3, "m")], columns)
+    for _ in range(2):
+        sinks.upsert_table(batch, name, ["k"])
+        assert values(spark, name, "k", "p", "v") == [(1, 2, "c"), (2, 2, "b"), (None, 3, "m")]
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 2
+    # Rows without a partition value make the merge write the whole table.
+    sinks.upsert_table(spark.createDataFrame([(7, None, "x")], columns), name, ["k"])
+    assert spark.table(name).count() == 4
+    sinks.upsert_table(spark.createDataFrame([], columns), name, ["k"])
+    assert spark.table(name).count() == 4
+
+
+def test_somebody_elses_table_is_not_dropped(spark, schema):
+    name = f"{schema}.t"
+    spark.range(3).toDF("k").write.saveAsTable(f"{name}__replaced")
+    sinks.replace_table(spark.range(5).toDF("k"), name)
+    with pytest.raises(ValueError, match="in the way"):
+        sinks.replace_table(spark.range(5).toDF("other"), name)
+    assert spark.table(f"{name}__replaced").count() == 3
+    assert spark.table(name).columns == ["k"]
