@@ -22,6 +22,8 @@ from oreworks.operators.upsert import same_keys, without_keys
 
 HISTORY = ("valid_from", "valid_to", "is_current")
 AUDIT = ("created_at", "updated_at")
+#: In the steps of a type 2 merge: does the row close a version, or open one?
+CLOSES = "closes_version"
 
 
 def _now(as_of: Column | None) -> Column:
@@ -95,6 +97,31 @@ def scd2_apply(
     return past.unionByName(updated).unionByName(inserted)
 
 
+def scd2_steps(
+    dimension: DataFrame, batch: DataFrame, keys: Sequence[str], as_of: Column | None = None
+) -> DataFrame:
+    """What ``scd2_apply`` would do, as rows for one MERGE statement: the batch's columns and
+    ``closes_version``, true to close a key's current version and false to open one. A changed
+    key has both, a new one the latter, any other none."""
+    _require_known(dimension, batch)
+    now = _now(as_of)
+    attributes = [c for c in dimension.columns if c not in (*keys, *HISTORY)]
+    current = dimension.filter("is_current").select(
+        *keys, F.struct("valid_from", F.struct(*attributes).alias("old")).alias("version")
+    )
+    incoming = unique_by_key(batch.select(*keys, *attributes), keys)
+    met = incoming.alias("r").join(current.alias("o"), same_keys(keys), "left")
+    version = F.col("o.version")
+    late = F.raise_error(F.lit("change is not later than the version it replaces"))
+    both = F.when(version["valid_from"] < now, F.array(F.lit(True), F.lit(False))).otherwise(late)
+    steps = (
+        F.when(version.isNull(), F.array(F.lit(False)))
+        .when(~version["old"].eqNullSafe(F.col("r.row")), both)
+        .otherwise(F.array().cast("array<boolean>"))
+    )
+    return met.select("r.*", F.explode(steps).alias(CLOSES)).select(*keys, "row.*", CLOSES)
+
+
 def scd2_insert(
     dimension: DataFrame, changes: DataFrame, keys: Sequence[str], changed_at: str
 ) -> DataFrame:

@@ -25,6 +25,7 @@ from oreworks.sinks.tables import (
     Written,
     append_table,
     in_session_catalog,
+    merge_dimension,
     merge_rows,
     replace_table,
     upsert_table,
@@ -184,7 +185,7 @@ def build_gold(
 
     name = lake.table("gold", spec.table)
     if spec.mode == "merge":
-        written = _merge_gold(rows, name, spec, as_of, lake.provider)
+        written = _merge_gold(rows, name, spec, as_of)
     else:
         rows = _stamp(rows, spec, as_of)
         if spec.mode == "append":
@@ -201,7 +202,7 @@ def _stamp(rows: DataFrame, spec: GoldSpec, as_of: Column | None) -> DataFrame:
 
 
 def _merge_gold(
-    rows: DataFrame, name: str, spec: GoldSpec, as_of: Column | None, provider: str
+    rows: DataFrame, name: str, spec: GoldSpec, as_of: Column | None
 ) -> Written:
     spark = rows.sparkSession
     if spec.scd_type == 1 and not spec.stamped:
@@ -216,4 +217,4 @@ def _merge_gold(
 
     if in_session_catalog(spark, name):
         return merge_rows(rows, name, spec.keys, merged, spec.layout)
-    return replace_table(merged(spark.table(name)), name, spec.layout, provider)
+    return merge_dimension(rows, name, spec.keys, spec.scd_type, as_of)
