@@ -455,6 +455,29 @@ _ORACLE = {
         SELECT *, DATE '2024-01-01' AS valid_from, CAST(NULL AS date) AS valid_to,
           true AS is_current FROM first_feed""",
     "scd2_apply": _SCD2,
+    "bronze_rejects": """
+        SELECT *, CAST(sum(n) OVER (PARTITION BY status) AS bigint) AS counted FROM (
+          SELECT CASE WHEN order_id % 50 = 0 OR order_id % 60 = 0 THEN 'rejected' ELSE 'kept'
+            END AS status, payment_method, count(*) AS n
+          FROM raw_orders_new GROUP BY ALL)""",
+    "dq_row_estimate": """
+        SELECT metric, exact, true AS within_bounds, true AS estimate_within_bounds FROM (
+          SELECT 'rows' AS metric, count(*) AS exact FROM raw_orders_new
+          UNION ALL SELECT 'nulls:seller_id', count(*) - count(seller_id) FROM raw_orders_new
+          UNION ALL SELECT 'nulls:order_date', count(*) - count(order_date) FROM raw_orders_new
+          UNION ALL SELECT 'distinct:order_id', count(DISTINCT order_id) FROM raw_orders_new)""",
+    "dq_exact_ranges": " UNION ALL ".join(
+        f"""
+        SELECT '{name}' AS "column", count(x) AS n, CAST(min(x) AS varchar) AS min,
+          CAST(max(x) AS varchar) AS max, CAST(sum(x) AS varchar) AS total,
+          count(*) FILTER (x < 0) AS negatives
+        FROM (SELECT {value} AS x FROM lineitem)"""
+        for name, value in {
+            "big_key": "l_orderkey + 9007199254740993",
+            "below_zero": "-l_partkey",
+            "quantity": "CAST(l_quantity AS decimal(12,2))",
+        }.items()
+    ),
     "gold_merge_scd1": _SCD1,
     "gold_merge_scd2": _SCD2,
     "scd1_null_key": f"""

@@ -122,6 +122,31 @@ def bronze_round_trip(t: Inputs) -> DataFrame:
     return t.spark.createDataFrame(written, "table string, expected bigint, actual bigint")
 
 
+@_register
+def bronze_rejects(t: Inputs) -> DataFrame:
+    """Orders of which some have no number as id, or no date: kept and rejected ones."""
+    lake = scratch_lake(t.spark)
+    id = F.col("order_id")
+    faulty = t.orders_new().withColumns(
+        {
+            "order_id": F.when(id % 50 == 0, F.concat(F.lit("x"), id)).otherwise(id.cast("string")),
+            "order_date": F.when(id % 60 == 0, "soon").otherwise(F.col("order_date").cast("string")),
+        }
+    )
+    write_raw(faulty, lake.raw_path("orders_new"))
+    report = ingest_bronze(t.spark, lake, replace(BRONZE["orders_new"], rejects=True))
+    name = lake.table("bronze", "orders_new")
+    tables = {"kept": (name, report.written), "rejected": (f"{name}_rejects", report.rejected)}
+    counts = [
+        t.spark.table(table)
+        .groupBy(F.lit(status).alias("status"), "payment_method")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("counted", F.lit(written.actual).cast("bigint"))
+        for status, (table, written) in tables.items()
+    ]
+    return op.union_by_name(counts)
+
+
 @_register
 def range_bucket(t: Inputs) -> DataFrame:
     return (
@@ -367,6 +392,38 @@ def dq_sample_estimate(t: Inputs) -> DataFrame:
     return both.withColumn("within_tolerance", off <= F.col("exact") * TOLERANCE)
 
 
+@_register
+def dq_row_estimate(t: Inputs) -> DataFrame:
+    """Exact figures, and whether those from a sample of rows bound them."""
+    raw = t.orders_new()
+    estimates = op.row_estimate(raw, ["seller_id", "order_date"], ["order_id"], SAMPLE)
+    figures = {
+        "rows": F.count(F.lit(1)),
+        "nulls:seller_id": F.count_if(F.col("seller_id").isNull()),
+        "nulls:order_date": F.count_if(F.col("order_date").isNull()),
+        "distinct:order_id": F.count_distinct("order_id"),
+    }
+    exact = raw.agg(*[figure.alias(name) for name, figure in figures.items()])
+    both = exact.unpivot([], list(figures), "metric", "exact").join(estimates, "metric")
+    return both.select(
+        "metric",
+        "exact",
+        F.col("exact").between(F.col("low"), F.col("high")).alias("within_bounds"),
+        F.col("estimate").between(F.col("low"), F.col("high")).alias("estimate_within_bounds"),
+    )
+
+
+@_register
+def dq_exact_ranges(t: Inputs) -> DataFrame:
+    """Numbers beyond 2^53, which doubles would round, and decimals."""
+    items = t.given("lineitem").select(
+        (F.col("l_orderkey") + 2**53 + 1).alias("big_key"),
+        (-F.col("l_partkey")).alias("below_zero"),
+        F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
+    )
+    return op.exact_range_report(items, items.columns)
+
+
 # Sinks
 
 

@@ -12,10 +12,12 @@ from oreworks.operators.clean import (
 from oreworks.operators.dedup import dedup_by_key, require_unique_keys, unique_by_key
 from oreworks.operators.quality import (
     duplicate_report,
+    exact_range_report,
     null_report,
     partition_sizes,
     quality_estimate,
     quality_report,
+    row_estimate,
     skew_stats,
     skewed_partitions,
     value_range_report,
@@ -48,6 +50,7 @@ __all__ = [
     "dim_date",
     "dim_sellers",
     "duplicate_report",
+    "exact_range_report",
     "fact_orders",
     "fact_sales_summary",
     "merge_sources",
@@ -58,6 +61,7 @@ __all__ = [
     "quality_report",
     "reject_counts",
     "require_unique_keys",
+    "row_estimate",
     "sales_trend",
     "scd1_apply",
     "scd1_stamp",

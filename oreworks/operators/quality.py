@@ -7,12 +7,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DecimalType, IntegralType, NumericType
 
-from oreworks.sources.sampling import key_hash_sample
+from oreworks.sources.sampling import SEED, key_hash_sample, row_sample
 
 SKEW_THRESHOLD = 2.0
 TOP_PARTITIONS = 20
+#: Standard errors between an estimate from a sample and its bounds.
+BOUND = 4.0
 # check, column, metric, aggregate
 Metric = tuple[str, str, str, Column]
 
@@ -40,6 +42,33 @@ def value_range_report(df: DataFrame, columns: Sequence[str] | None = None) -> D
     return df.agg(F.array(*rows).alias("report")).select(F.inline("report"))
 
 
+def exact_range_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, n, min, max, total, negatives`` of whole-number and decimal columns, in one
+    pass. Minimum, maximum and total are text with all digits: no value goes through a double,
+    which would round 2**53 + 1. A total of more than 38 digits is an error."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    inexact = [c for c in columns if not isinstance(kinds[c], (IntegralType, DecimalType))]
+    if inexact:
+        raise ValueError(f"columns {inexact} hold no whole numbers or decimals")
+
+    def wide(c: str) -> Column:
+        scale = kinds[c].scale if isinstance(kinds[c], DecimalType) else 0
+        return F.col(c).cast(DecimalType(38, scale))
+
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count(c).alias("n"),
+            F.min(c).cast("string").alias("min"),
+            F.max(c).cast("string").alias("max"),
+            F.sum(wide(c)).cast("string").alias("total"),
+            F.count_if(F.col(c) < 0).alias("negatives"),
+        )
+        for c in columns
+    ]
+    return df.agg(F.array(*rows).alias("report")).select(F.inline("report"))
+
+
 def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``total_rows, unique_rows, duplicate_rows, duplicate_pct``; NULL keys are equal.
 
@@ -143,6 +172,53 @@ def quality_estimate(
     return per_key.agg(F.array(*rows).alias("report")).select(F.inline("report"))
 
 
+def row_estimate(
+    df: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str] = (),
+    fraction: float = 0.01,
+    seed: int = SEED,
+) -> DataFrame:
+    """``metric, estimate, low, high`` from a sample of rows: their number, the NULLs of
+    ``columns``, and with ``keys`` how many keys there are.
+
+    What is counted k times in the sample is there about k / fraction times. The bounds are
+    four standard errors away: the square root of a count varies by half of one. Keys that the
+    sample has once stand for between 1 and 1 / fraction others, of which the estimate takes
+    the geometric mean; a key that it has more often is likely to have been the only one.
+    """
+    sample = row_sample(df, fraction, seed)
+    counts = {"rows": _rows(), **{f"nulls:{c}": _nulls(c) for c in columns}}
+    cells = [_estimated(F.lit(name), count, fraction) for name, count in counts.items()]
+    found = sample.agg(F.array(*cells).alias("report")).select(F.inline("report"))
+    if not keys:
+        return found
+    once = F.count_if(F.col("n") == 1)
+    seen = sample.groupBy(*keys).agg(_rows().alias("n")).agg(once.alias("once"), _rows().alias("seen"))
+    more = F.col("seen") - F.col("once")
+    distinct = seen.select(
+        F.lit(f"distinct:{','.join(keys)}").alias("metric"),
+        (more + F.col("once") / F.sqrt(F.lit(fraction))).alias("estimate"),
+        F.col("seen").cast("double").alias("low"),
+        (more + _high(F.col("once"), fraction)).alias("high"),
+    )
+    return found.unionByName(distinct)
+
+
+def _high(count: Column, fraction: float) -> Column:
+    return F.pow(F.sqrt(count + 1) + BOUND / 2, F.lit(2.0)) / fraction
+
+
+def _estimated(metric: Column, count: Column, fraction: float) -> Column:
+    low = F.pow(F.greatest(F.sqrt(count) - BOUND / 2, F.lit(0.0)), F.lit(2.0)) / fraction
+    return F.struct(
+        metric.alias("metric"),
+        (count / F.lit(fraction)).alias("estimate"),
+        low.alias("low"),
+        _high(count, fraction).alias("high"),
+    )
+
+
 def _rows() -> Column:
     return F.count(F.lit(1))
 

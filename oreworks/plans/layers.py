@@ -27,6 +27,7 @@ from oreworks.sinks.tables import (
     in_session_catalog,
     merge_dimension,
     merge_rows,
+    replace_split,
     replace_table,
     upsert_table,
 )
@@ -37,6 +38,10 @@ from oreworks.sources.tables import read_tables
 Transform = Callable[[DataFrame], DataFrame]
 
 
+# Columns of rejected records.
+CORRUPT, SOURCE_FILE, REJECTED = "_corrupt_record", "source_file", "_rejected"
+
+
 class EmptySource(ValueError):
     """A raw folder without data files."""
 
@@ -44,7 +49,11 @@ class EmptySource(ValueError):
 @dataclass(frozen=True)
 class BronzeSpec:
     """A raw folder to be typed and stored as it is. ``derive`` adds partition columns;
-    ``keys`` are those that cleaning will make unique."""
+    ``keys`` are those that cleaning will make unique.
+
+    With ``rejects``, records that do not fit the schema go to a table `<table>_rejects` instead,
+    with their text and file, in the same pass. The text is in ``corrupt_column``, whose name
+    is then `_corrupt_record` unless told otherwise."""
 
     table: str
     schema: StructType
@@ -53,6 +62,7 @@ class BronzeSpec:
     header: bool = True
     strict_header: bool = False
     corrupt_column: str | None = None
+    rejects: bool = False
     derive: Transform | None = None
     layout: Layout | None = None
 
@@ -106,10 +116,11 @@ class GoldSpec:
 @dataclass(frozen=True)
 class LayerReport:
     """What was written, and how to get a quality report of the rows that were read
-    (silver) or written (bronze, gold)."""
+    (silver) or written (bronze, gold). ``rejected``: what went to the table of rejects."""
 
     written: Written
     quality: Callable[[], DataFrame] = field(compare=False)
+    rejected: Written | None = None
 
 
 def ingest_bronze(spark: SparkSession, lake: Lake, spec: BronzeSpec) -> LayerReport:
@@ -117,6 +128,7 @@ def ingest_bronze(spark: SparkSession, lake: Lake, spec: BronzeSpec) -> LayerRep
     path = lake.raw_path(spec.table)
     if list_data_files(spark, path).filter(F.col("format") == spec.file_format).isEmpty():
         raise EmptySource(f"no {spec.file_format} files in {path}")
+    corrupt = spec.corrupt_column or (CORRUPT if spec.rejects else None)
     rows = read_typed(
         spark,
         path,
@@ -124,11 +136,27 @@ def ingest_bronze(spark: SparkSession, lake: Lake, spec: BronzeSpec) -> LayerRep
         spec.file_format,
         header=spec.header,
         strict_header=spec.strict_header,
-        corrupt_column=spec.corrupt_column,
+        corrupt_column=corrupt,
     )
+    name = lake.table("bronze", spec.table)
+    if spec.rejects:
+        if not in_session_catalog(spark, name):
+            raise ValueError(f"{name}: rejects need a table in the session catalog")
+        text = F.col(corrupt) if corrupt in rows.columns else F.lit(None).cast("string")
+        rows = rows.withColumns({corrupt: text, SOURCE_FILE: F.col("_metadata.file_path")})
+        if spec.derive:
+            rows = rows.transform(spec.derive)
+        written, rejected = replace_split(
+            rows.withColumn(REJECTED, F.col(corrupt).isNotNull()),
+            REJECTED,
+            name,
+            f"{name}_rejects",
+            (corrupt, SOURCE_FILE),
+            spec.layout,
+        )
+        return LayerReport(written, lambda: quality_report(spark.table(name), spec.keys), rejected)
     if spec.derive:
         rows = rows.transform(spec.derive)
-    name = lake.table("bronze", spec.table)
     written = replace_table(rows, name, spec.layout, lake.provider)
     return LayerReport(written, lambda: quality_report(spark.table(name), spec.keys))
 

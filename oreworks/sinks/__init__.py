@@ -12,6 +12,7 @@ from oreworks.sinks.tables import (
     RowCountMismatch,
     append_table,
     merge_rows,
+    replace_split,
     replace_table,
     upsert_table,
 )
@@ -23,6 +24,7 @@ __all__ = [
     "append_table",
     "layer_comparison",
     "merge_rows",
+    "replace_split",
     "replace_table",
     "table_columns",
     "table_details",

@@ -103,6 +103,47 @@ def replace_table(
     return _counted(layout.arrange(df), name, 0, write)
 
 
+def replace_split(
+    df: DataFrame,
+    rejected: str,
+    name: str,
+    rejects: str,
+    extra: Sequence[str],
+    layout: Layout | None = None,
+) -> tuple[Written, Written]:
+    """Replace two tables in one pass over the rows: ``rejects`` by those for which the boolean
+    column ``rejected`` is true, ``name`` by all others.
+
+    Both kinds of files are written by the same tasks, and counted there. Neither table has the
+    column ``rejected``; the columns ``extra`` are in ``rejects`` only. For tables in the session
+    catalog; a catalog of its own takes one statement for each.
+    """
+    spark = df.sparkSession
+    layout = layout or Layout()
+    location = _new_version(spark, name)
+    seen = Observation()
+    counted = df.withColumn(rejected, F.coalesce(rejected, F.lit(False))).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(rejected).alias("rejects")
+    )
+    counted.write.option("compression", layout.compression).partitionBy(
+        rejected, *layout.partition_by
+    ).parquet(location)
+    bad = seen.get["rejects"]
+    done = []
+    for table, flag, rows in ((name, "false", seen.get["rows"] - bad), (rejects, "true", bad)):
+        gone = {rejected, *(extra if table == name else ())}
+        columns = StructType(
+            [StructField(f.name, f.dataType) for f in df.schema.fields if f.name not in gone]
+        )
+        place = f"{location}/{rejected}={flag}"
+        if not rows:
+            spark.createDataFrame([], columns).write.parquet(place)
+        found = spark.read.schema(columns).parquet(place).count() if rows else 0
+        done.append(_reconciled(table, rows, found))
+        _adopt(spark, table, columns, place, layout)
+    return tuple(done)
+
+
 def append_table(
     df: DataFrame,
     name: str,
@@ -323,22 +364,30 @@ def require_known_columns(df: DataFrame, known: Sequence[str]) -> None:
 
 def _replace_version(df: DataFrame, name: str, layout: Layout) -> Written:
     spark = df.sparkSession
-    aside = name + ASIDE
-    if not spark.catalog.tableExists(name) and _is_ours(spark, aside):
-        spark.sql(f"ALTER TABLE {aside} UNSET TBLPROPERTIES IF EXISTS ('{ASIDE_PROPERTY}')")
-        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
     location = _new_version(spark, name)
     expected, written = _write_version(df, location, layout)
     columns = written.schema
     done = _reconciled(name, expected, written.count())
 
+    _adopt(spark, name, columns, location, layout)
+    return done
+
+
+def _adopt(
+    spark: SparkSession, name: str, columns: StructType, location: str, layout: Layout
+) -> None:
+    """Make the files in a directory the table of that name."""
+    aside = name + ASIDE
+    if not spark.catalog.tableExists(name) and _is_ours(spark, aside):
+        spark.sql(f"ALTER TABLE {aside} UNSET TBLPROPERTIES IF EXISTS ('{ASIDE_PROPERTY}')")
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
     if _only_moves(spark, name, columns, layout):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_properties(layout)})")
         spark.catalog.refreshTable(name)
-        return done
+        return
 
-    following = f"{name}__{location.rsplit('/', 1)[1]}"
+    following = f"{name}__{uuid4().hex}"
     partitioned = ", ".join(f"`{c}`" for c in layout.partition_by)
     spark.sql(
         f"CREATE TABLE {following} ({columns.toDDL()}) USING {PARQUET}"
@@ -356,7 +405,6 @@ def _replace_version(df: DataFrame, name: str, layout: Layout) -> Written:
     spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
     if exists:
         spark.sql(f"DROP TABLE {aside}")
-    return done
 
 
 def _is_ours(spark: SparkSession, aside: str) -> bool:

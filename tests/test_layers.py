@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 from dataclasses import replace
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from oreworks.catalogue.inputs import Inputs
 from oreworks.catalogue.queries import write_raw
 from oreworks.catalogue.scratch import scratch_lake
+from oreworks.lake import Lake
 from oreworks.plans import (
     BRONZE,
     GOLD,
@@ -192,3 +194,25 @@ def test_empty_raw_folder(spark, lake, tmp_path):
     with pytest.raises(EmptySource):
         elsewhere = {"roots": {"raw": str(tmp_path.parent)}, "raw_folders": {"orders": tmp_path.name}}
         ingest_bronze(spark, replace(lake, **elsewhere), BRONZE["orders"])
+
+
+def test_rejects_go_to_a_table_of_their_own(spark, tmp_path):
+    home = Lake(str(tmp_path), schemas={"bronze": f"rejects_{uuid.uuid4().hex}"})
+    spark.sql(f"CREATE SCHEMA {home.schema('bronze')} LOCATION '{tmp_path}/bronze'")
+    (tmp_path / "raw" / "orders_new").mkdir(parents=True)
+    file = tmp_path / "raw" / "orders_new" / "a.csv"
+    head = "order_id,customer_id,seller_id,order_date,payment_method\n"
+    name = home.table("bronze", "orders_new")
+    spec = replace(BRONZE["orders_new"], rejects=True)
+    for text, good, bad in [
+        ("1,2,3,2024-01-05,a\nx,2,3,2024-01-06,b\n4,5\n", 1, ["x,2,3,2024-01-06,b", "4,5"]),
+        ("1,2,3,2024-01-05,a\n", 1, []),
+        ("y,2,3,2024-01-05,a\n", 0, ["y,2,3,2024-01-05,a"]),
+    ]:
+        file.write_text(head + text)
+        report = ingest_bronze(spark, home, spec)
+        assert (report.written.actual, report.rejected.actual) == (good, len(bad))
+        kept, rejected = spark.table(name), spark.table(f"{name}_rejects")
+        assert kept.count() == good and "_corrupt_record" not in kept.columns
+        assert sorted(r["_corrupt_record"] for r in rejected.collect()) == sorted(bad)
+        assert all(r["source_file"].endswith("a.csv") for r in rejected.collect())

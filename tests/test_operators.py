@@ -366,3 +366,29 @@ def test_key_sample_keeps_or_leaves_all_copies(spark):
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+# Estimates and exact figures
+
+
+def test_row_estimates_bound_the_truth(spark):
+    df = spark.range(40_000).selectExpr("id % 9000 AS k", "if(id % 40 = 0, NULL, id) AS v", "id AS w")
+    exact = {"rows": 40_000, "nulls:v": 1_000, "nulls:w": 0, "distinct:k": 9_000}
+    for seed in range(3):
+        got = {r.metric: r for r in op.row_estimate(df, ["v", "w"], ["k"], 0.1, seed).collect()}
+        assert set(got) == set(exact)
+        for name, row in got.items():
+            assert row.low <= exact[name] <= row.high and row.low <= row.estimate <= row.high
+        assert got["rows"].high < 1.1 * exact["rows"]
+    none = op.row_estimate(df.limit(0), ["v"], ["k"], 0.1).collect()
+    assert {(r.metric, r.estimate) for r in none} == {("rows", 0), ("nulls:v", 0), ("distinct:k", 0)}
+
+
+def test_exact_ranges(spark):
+    df = spark.createDataFrame([(2**53 + 1, "x"), (-(2**62), "y"), (None, "z")], "big long, s string")
+    got = op.exact_range_report(df, ["big"]).first()
+    assert (got.n, got.min, got.max, got.negatives) == (2, str(-(2**62)), str(2**53 + 1), 1)
+    assert got.total == str(2**53 + 1 - 2**62)
+    assert op.exact_range_report(df.limit(0), ["big"]).first().max is None
+    with pytest.raises(ValueError, match="hold no whole"):
+        op.exact_range_report(df, ["s"])
