@@ -148,7 +148,7 @@ def fit(
     """Prototypes of the languages of labelled texts.
 
     Every language is fitted on about texts_per_language of its texts, or on all if it has
-    fewer; a hash of the id picks them. Rows without language, text or letters teach
+    fewer; a hash of id and text picks them, so that rows without ids are picked one by one. Rows without language, text or letters teach
     nothing. A table that teaches nothing gives a model without languages.
     """
     rows = labelled.select(
@@ -167,7 +167,7 @@ def fit(
             for x in (row["lang"], int(min(1.0, texts_per_language / row["count"]) * slots))
         ]
     )
-    slot = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(slots))
+    slot = F.pmod(F.xxhash64("id", "text"), F.lit(slots))
     sums = (
         rows.where(slot < share[F.col("lang")])
         .select("lang", "text")

@@ -33,7 +33,11 @@ def same_row(docs: str, found: str, id: str, text: str) -> Column:
 
 
 def once(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one of the rows that have equal id and text."""
+    """docs with one of the rows that have equal id and text: the first by its other columns,
+    as JSON, so that it does not depend on how rows are dealt."""
+    others = [c for c in docs.columns if c not in (id, text)]
+    if not others:
+        return docs.dropDuplicates([id, text])
     keys = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_key"))
     repeated = keys.groupBy("id", "text_key").count().where("count > 1").drop("count")
     if repeated.isEmpty():
@@ -41,4 +45,11 @@ def once(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     match = same_row("d", "f", id, text)
     left, right = docs.alias("d"), repeated.alias("f")
     single = left.join(right, match, "left_anti")
-    return single.unionByName(left.join(right, match, "left_semi").dropDuplicates([id, text]))
+    rest = F.struct(*others)
+    first = (
+        left.join(right, match, "left_semi")
+        .groupBy(id, text)
+        .agg(F.min_by(rest, F.to_json(rest)).alias("first"))
+    )
+    columns = [F.col(c) if c in (id, text) else F.col("first")[c].alias(c) for c in docs.columns]
+    return single.unionByName(first.select(*columns))

@@ -29,3 +29,15 @@ def test_fit_does_not_depend_on_the_order_of_rows(make):
     a = language_id.fit(make(texts))
     b = language_id.fit(make(texts[::-1] and list(enumerate(texts))[::-1]))
     assert (a.prototypes == b.prototypes).all()
+
+
+def test_no_language_is_lost_without_ids(spark):
+    """The bounded choice of texts goes by text as well, and finds some of every language."""
+    words = {"en": "the quick fox", "de": "über die Straße", "fr": "ça été là", "es": "mañana y niño"}
+    rows = [(None, f"{text} {k}", lang) for lang, text in words.items() for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, texts_per_language=50)
+    assert set(model.languages) == set(words)
+    found = language_id.identify(docs, model)
+    wrong = found.join(docs, found["lang_pred"] == docs["lang"], "left_anti")
+    assert wrong.isEmpty()

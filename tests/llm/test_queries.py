@@ -61,6 +61,14 @@ def test_once(make):
     assert once(docs).count() == 3
 
 
+def test_once_does_not_depend_on_partitions(spark):
+    rows = [(1, "a", "en", f"s{k}", k) for k in range(40)] + [(None, None, None, "s", 1)] * 3
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    left = {tuple(sorted(map(str, once(docs.repartition(n)).collect()))) for n in (1, 3, 7)}
+    assert len(left) == 1 and len(next(iter(left))) == 2
+
+
 def five_word_runs(text):
     words = (text or "").encode().lower().split()
     if len(words) < 5:
