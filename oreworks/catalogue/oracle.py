@@ -361,6 +361,8 @@ _ORACLE = {
         FROM (SELECT * FROM raw_orders UNION ALL BY NAME
           SELECT * REPLACE (CAST(order_id AS varchar) AS order_id,
             CAST(order_date AS timestamp) AS order_date) FROM raw_orders_new)""",
+    "merge_transform": "SELECT * REPLACE ('merged' AS data_source) FROM unified",
+    "schema_in_use": "SELECT * FROM first_feed",
     "source_distribution": "SELECT source_system, count(*) AS n FROM unified GROUP BY ALL",
     "dim_customers": "SELECT * FROM dim_customers",
     "dim_sellers": """

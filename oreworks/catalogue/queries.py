@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,7 @@ from oreworks import operators as op
 from oreworks import schemas, sinks, sources
 from oreworks.catalogue.inputs import Inputs
 from oreworks.catalogue.scratch import scratch_lake, scratch_root
+from oreworks.operators.clean import LEGACY, NEW_SYSTEM, tag_orders
 from oreworks.operators.quality import largest_partitions
 from oreworks.plans import BRONZE, SILVER, GoldSpec, build_gold, build_lake, ingest_bronze
 from oreworks.plans.tables import bucket_orders, split_order_date
@@ -251,6 +252,31 @@ def merge_sources(t: Inputs) -> DataFrame:
     return op.merge_sources([t.orders(), new_system], ["order_id"], drop=["payment_method"])
 
 
+@_register
+def merge_transform(t: Inputs) -> DataFrame:
+    """Both order systems put together by a function that first gives them one shape."""
+
+    def shaped(parts: Sequence[DataFrame]) -> DataFrame:
+        systems = zip(parts, (LEGACY, NEW_SYSTEM))
+        return op.union_by_name([rows.transform(tag_orders(system)) for rows, system in systems])
+
+    keys = ["source_system", "order_id"]
+    return op.merge_sources([t.orders(), t.orders_new()], keys, merge=shaped)
+
+
+@_register
+def schema_in_use(t: Inputs) -> DataFrame:
+    """A table that is written and found by its name alone, in the layer in use."""
+    lake = scratch_lake(t.spark)
+    before = t.spark.catalog.currentDatabase()
+    lake.use(t.spark, "gold")
+    try:
+        replace_table(_first_feed(t).select(*_ATTRIBUTES), "customers_in_use")
+    finally:
+        t.spark.catalog.setCurrentDatabase(before)
+    return t.spark.table(lake.table("gold", "customers_in_use"))
+
+
 @_register
 def source_distribution(t: Inputs) -> DataFrame:
     return op.source_distribution(unify_orders(t))

@@ -46,3 +46,7 @@ class Lake:
                 f"CREATE SCHEMA IF NOT EXISTS {self.schema(layer)}"
                 f" LOCATION '{self.layer_root(layer)}'"
             )
+
+    def use(self, spark: SparkSession, layer: str) -> None:
+        """Make a layer the one that table names without a schema mean."""
+        spark.sql(f"USE {self.schema(layer)}")
