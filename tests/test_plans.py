@@ -14,6 +14,8 @@ WRITES = {
     "table_details", "table_file_metrics", "write_reconciliation",
 }
 LAZY = sorted(set(queries()) - WRITES)
+# A history has to be read in order, key by key: these have windows, over narrow version rows.
+ORDERED = {"scd2_late_changes"}
 
 
 def plan(spark, name, broadcast="-1"):
@@ -28,8 +30,9 @@ def plan(spark, name, broadcast="-1"):
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_python_or_forced_broadcast(spark, name):
     text = plan(spark, name)
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "Python", "Window "):
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "Python"):
         assert bad not in text
+    assert ("Window " in text) == (name in ORDERED)
 
 
 @pytest.mark.parametrize("name", ["dedup_by_key", "clean_customers", "clean_orders_legacy"])
