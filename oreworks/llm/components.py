@@ -22,8 +22,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         out = tied.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        out = tied.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            least.select("a", F.col("m").alias("b"))
+        ends = F.array(F.struct(F.col("b"), "m"), F.struct(F.col("a").alias("b"), "m"))
+        out = tied.select(F.explode(ends).alias("e")).select(
+            F.col("e.b").alias("a"), F.col("e.m").alias("b")
         )
     return out.where("a <> b").distinct()
 

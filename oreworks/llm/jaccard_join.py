@@ -204,7 +204,10 @@ def _grouped(docs: DataFrame, id: str, text: str, width: int, similarity: int) -
     def linked(x: Column, y: Column, common: Column) -> Column:
         return 100 * common >= similarity * (x + y - common)
 
-    labels = group(_keys(candidates), sets, may, linked)
+    def lacking(size: Column) -> Column:
+        return F.floor(size * (100 - similarity) / 100)
+
+    labels = group(_keys(candidates), sets, may, linked, lacking)
     groups = labels.join(made.select(F.col("row").alias("node"), "high", "low"), "node").select(
         "high", "low", "label"
     )

@@ -1,9 +1,12 @@
 """Groups of linked nodes, from buckets of nodes that may be linked, without all pairs.
 
 Only the groups are wanted, not every link. In each round every bucket compares its members
-with one of them, the pivot, and links join the groups. Members of one group need not be
-compared any more. What is left after some rounds, the members of a bucket that are outside its
-largest group, is compared with all of the bucket that are in other groups.
+with some of them, the pivots, and links join the groups. Members of one group need not be
+compared any more. What is left after the rounds, the members of a bucket that are outside its
+largest group, is compared with all of the bucket that are in other groups. Where that would be
+many pairs, as with texts that share a template and little else, the bucket's members get
+new buckets first: one for each of the rarest items of their whole sets, as many as linked sets
+need to have one in common. A template is frequent, so it makes no such bucket.
 """
 
 from __future__ import annotations
@@ -14,14 +17,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreworks.llm.components import components
+from oreworks.llm.hot import meet
 from oreworks.llm.lineage import cut
 
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
+#: Pivots of a bucket in the first round, when all of its members meet them, and in later ones.
+FIRST_PIVOTS, LATER_PIVOTS = 1, 3
+#: Buckets with more pairs left than this are dealt anew by rare items.
+FEW_PAIRS = 4_096
 #: 64-bit numbers of a sketch.
 SKETCH = 8
 
 #: Tells from two nodes' sizes and a lower bound of what they differ by if they may be linked.
 MayLink = Callable[[Column, Column, Column], Column]
+#: How many items of a set of this size a linked set may lack.
+Lacking = Callable[[Column], Column]
 #: Tells from two nodes' sizes and the size of their intersection if they are linked.
 Linked = Callable[[Column, Column, Column], Column]
 
@@ -51,20 +61,18 @@ def same_members_once(index: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, linked: Linked) -> DataFrame:
-    """The pairs (a, b) that are linked."""
+    """Links (a, b) between the groups of the pairs that are linked."""
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(linked(F.size("x"), F.size("y"), common)).select("a", "b")
+    found = both.where(linked(F.size("x"), F.size("y"), common))
+    return found.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
 
 
 def _apply(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after joining the groups of linked nodes."""
-    known = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-    other = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    joined = links.join(known, "a").join(other, "b")
-    roots = components(joined.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    """Labels after joining linked groups."""
+    roots = components(links)
     return cut(
         labels.join(roots, labels["label"] == roots["node"], "left").select(
             labels["node"], F.coalesce("root", "label").alias("label")
@@ -72,34 +80,50 @@ def _apply(labels: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _open(index: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one group, with their labels."""
-    named = index.join(labels, "node")
+def _mixed(members: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one group."""
     mixed = (
-        named.groupBy("key")
+        members.groupBy("key")
         .agg(F.min("label").alias("x"), F.max("label").alias("y"))
         .where("x < y")
         .select("key")
     )
-    return named.join(mixed, "key")
+    return members.join(mixed, "key")
 
 
-def _star_pairs(members: DataFrame, turn: int, may: MayLink) -> DataFrame:
-    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "label", "size", "sketch")
-    pivots = members.groupBy("key").agg(F.min(order).alias("p")).select("key", "p.*")
-    return _pairs(members, pivots, may, F.lit(True))
+def _star_pairs(members: DataFrame, turns: range, may: MayLink) -> DataFrame:
+    """Pairs of each bucket's pivots, one for each turn, with its members."""
 
+    def pivot(turn: int) -> Column:
+        order = F.xxhash64("node", F.lit(turn)).alias("h")
+        least = F.min(F.struct(order, "node", "label", "size", "sketch"))
+        return least.alias(f"p{turn}")
 
-def _rest_pairs(members: DataFrame, may: MayLink) -> DataFrame:
-    """Pairs of different groups, at least one of them outside its bucket's largest group."""
+    chosen = members.groupBy("key").agg(*[pivot(turn) for turn in turns])
+    pivots = chosen.select("key", F.explode(F.array(*[f"p{turn}" for turn in turns])).alias("p"))
+    return _pairs(members, pivots.select("key", "p.*"), may, F.lit(True))
+
+
+def _ranked(members: DataFrame) -> DataFrame:
+    """Members of mixed buckets with the largest group of the bucket, and the number of pairs
+    of its members with those outside that group."""
     largest = (
         members.groupBy("key", "label")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("key")
-        .agg(F.max(F.struct("n", "label")).alias("top"))
-        .select("key", F.col("top.label").alias("top"))
+        .agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
+        .where(F.col("top.n") < F.col("all"))
+        .select(
+            "key",
+            F.col("top.label").alias("top"),
+            (F.col("all") * (F.col("all") - F.col("top.n"))).alias("work"),
+        )
     )
-    ranked = members.join(largest, "key")
+    return members.join(largest, "key")
+
+
+def _rest_pairs(ranked: DataFrame, may: MayLink) -> DataFrame:
+    """Pairs of different groups, at least one of them outside its bucket's largest group."""
     outside = ranked.where("label <> top")
     once = (F.col("m.label") == F.col("m.top")) | (F.col("m.node") < F.col("p.node"))
     return _pairs(ranked, outside, may, once)
@@ -113,13 +137,52 @@ def _pairs(members: DataFrame, partners: DataFrame, may: MayLink, once: Column)
         & once
         & may(F.col("m.size"), F.col("p.size"), differing("m", "p")),
     )
+    in_order = F.col("m.node") < F.col("p.node")
     return met.select(
-        F.least("m.node", "p.node").alias("a"), F.greatest("m.node", "p.node").alias("b")
+        F.least("m.node", "p.node").alias("a"),
+        F.greatest("m.node", "p.node").alias("b"),
+        F.when(in_order, F.col("m.label")).otherwise(F.col("p.label")).alias("la"),
+        F.when(in_order, F.col("p.label")).otherwise(F.col("m.label")).alias("lb"),
     ).distinct()
 
 
+def _by_rare_items(nodes: DataFrame, sets: DataFrame, lacking: Lacking) -> DataFrame:
+    """The nodes as members of buckets by their rarest items.
+
+    If a linked set lacks at most k items of a set, both have an item in common among their
+    k + 1 first, in any order that is the same for all sets. Items are ordered by the number of
+    these nodes that have them. Items of a single node come first and make no bucket.
+    """
+    items = nodes.select("node").join(sets.select("node", F.explode("items").alias("item")), "node")
+    counts = cut(items.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    shared = (
+        meet(items, counts, "item")
+        .groupBy("node")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "item"))).alias("found"))
+        .join(nodes, "node")
+    )
+    single = F.col("size") - F.size("found")
+    first = F.slice("found", 1, F.greatest(lacking(F.col("size")) + 1 - single, F.lit(0)).cast("int"))
+    return shared.select(F.explode(first)["item"].alias("key"), *nodes.columns)
+
+
+def _rest(
+    members: DataFrame, sets: DataFrame, may: MayLink, lacking: Lacking
+) -> DataFrame:
+    """Pairs that hold every link between groups."""
+    ranked = cut(_ranked(members))
+    few = F.col("work") <= FEW_PAIRS
+    pairs = _rest_pairs(ranked.where(few), may)
+    crowded = ranked.where(~few).select("node", "label", "size", "sketch")
+    crowded = cut(crowded.dropDuplicates(["node"]))
+    if crowded.isEmpty():
+        return pairs
+    dealt = _ranked(cut(_by_rare_items(crowded, sets, lacking)))
+    return pairs.union(_rest_pairs(dealt, may)).distinct()
+
+
 def group(
-    index: DataFrame, sets: DataFrame, may: MayLink, linked: Linked
+    index: DataFrame, sets: DataFrame, may: MayLink, linked: Linked, lacking: Lacking
 ) -> DataFrame:
     """node, label of every node of sets; nodes have one label if links connect them.
 
@@ -129,17 +192,15 @@ def group(
     """
     facts = sets.select("node", "size", "sketch")
     index = cut(same_members_once(index).join(facts, "node"))
-    labels = cut(sets.select("node", F.col("node").alias("label")))
-    for turn in range(STAR_ROUNDS + 1):
-        members = _open(index, labels)
-        if turn < STAR_ROUNDS:
-            pairs = _star_pairs(members, turn, may)
-        else:
-            pairs = _rest_pairs(members, may)
-        links = cut(_verified(pairs, sets, linked))
-        if links.isEmpty():
-            if turn < STAR_ROUNDS:
-                continue
-            break
-        labels = _apply(labels, links)
-    return labels
+    labels = sets.select("node", F.col("node").alias("label"))
+    members = index.withColumn("label", F.col("node"))
+    turn = 0
+    for round in range(STAR_ROUNDS):
+        turns = range(turn, turn + (LATER_PIVOTS if round else FIRST_PIVOTS))
+        turn = turns.stop
+        links = cut(_verified(_star_pairs(members, turns, may), sets, linked))
+        if not links.isEmpty():
+            labels = _apply(labels, links)
+            members = _mixed(index.join(labels, "node"))
+    links = cut(_verified(_rest(members, sets, may, lacking), sets, linked))
+    return labels if links.isEmpty() else _apply(labels, links)

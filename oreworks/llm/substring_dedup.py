@@ -478,7 +478,10 @@ def _near_lines(units: DataFrame, source: DataFrame) -> DataFrame:
     def linked(x: Column, y: Column, common: Column) -> Column:
         return 100 * common >= SIMILARITY * (x + y - common)
 
-    labels = group(index.select("key", "node"), sets, may, linked)
+    def lacking(size: Column) -> Column:
+        return F.floor(size * (100 - SIMILARITY) / 100)
+
+    labels = group(index.select("key", "node"), sets, may, linked, lacking)
     linked_rows = paragraphs.select("row", "at", "node").join(labels, "node")
     kept = linked_rows.groupBy("label").agg(F.min("row").alias("kept"))
     return linked_rows.join(kept, "label").where("row <> kept").select("row", "at", "kept")
