@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from oreworks.llm.hot import meet
 from oreworks.llm.jaccard_join import odd_sketch
 from oreworks.llm.lineage import cut
 from oreworks.llm.linking import group
@@ -439,19 +440,12 @@ def _near_lines(units: DataFrame, source: DataFrame) -> DataFrame:
         F.col("line.long_hashes").alias("node"),
         F.slice("bands", F.col("k") * BANDS + 1, BANDS).alias("keys"),
     )
-    keyed = paragraphs.select("row", "node", F.explode("keys").alias("key"))
-    shared = (
-        keyed.groupBy("key")
-        .agg(F.min("node").alias("x"), F.max("node").alias("y"))
-        .where("x <> y")
-        .select("key")
-    )
-    index = cut(
-        keyed.join(shared.hint("shuffle_hash"), "key")
-        .groupBy("key", "node")
-        .agg(F.min("row").alias("row"))
-    )
-    nodes = cut(index.groupBy("node").agg(F.min("row").alias("row")))
+    # Equal paragraphs have equal bands, so one stands for all.
+    kinds = paragraphs.groupBy("node").agg(F.min("row").alias("row"), F.first("keys").alias("keys"))
+    keyed = kinds.select("row", "node", F.explode(F.array_distinct("keys")).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    index = cut(meet(keyed, cut(shared), "key").select("key", "node", "row"))
+    nodes = index.select("node", "row").distinct()
     wanted = cut(
         nodes.select("row").distinct().join(units.select("row", "id", "text_key"), "row")
     )
@@ -526,12 +520,14 @@ def find_repeats(
     )
     repeated = (
         stretch.groupBy("hash")
-        .agg(F.min("row").alias("kept"), F.max("row").alias("last"))
+        .agg(
+            F.min("row").alias("kept"), F.max("row").alias("last"), F.count(F.lit(1)).alias("n")
+        )
         .where("kept < last")
-        .select("hash", "kept")
+        .select("hash", "kept", "n")
     )
     marks = (
-        stretch.join(repeated.hint("shuffle_hash"), "hash")
+        meet(stretch, cut(repeated), "hash")
         .where("row <> kept")
         .groupBy("row")
         .agg(F.collect_list(F.struct("kind", "at", "kept", "hash")).alias("marks"))
