@@ -162,8 +162,9 @@ def _by_rare_items(nodes: DataFrame, sets: DataFrame, lacking: Lacking) -> DataF
         .join(nodes, "node")
     )
     single = F.col("size") - F.size("found")
-    first = F.slice("found", 1, F.greatest(lacking(F.col("size")) + 1 - single, F.lit(0)).cast("int"))
-    return shared.select(F.explode(first)["item"].alias("key"), *nodes.columns)
+    wanted = F.greatest(lacking(F.col("size")) + 1 - single, F.lit(0)).cast("int")
+    first = F.transform(F.slice("found", 1, wanted), lambda x: x["item"])
+    return shared.select(F.explode(first).alias("key"), *nodes.columns)
 
 
 def _rest(

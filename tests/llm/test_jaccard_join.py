@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from oreworks.llm import jaccard_join, linking
 from oreworks.llm.components import components
@@ -69,6 +70,30 @@ def test_components_are_those_of_all_pairs(make, monkeypatch, seed, rounds):
     assert order(got) == order(brute(rows))
 
 
+@pytest.mark.parametrize("seed,rounds", [(1, 0), (4, 1)])
+def test_crowded_buckets_lose_no_link(make, monkeypatch, seed, rounds):
+    monkeypatch.setattr(linking, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(linking, "FEW_PAIRS", 0)
+    rows = cloud(seed)
+    got = [tuple(r) for r in jaccard_join.link(make(rows)).collect()]
+    assert order(got) == order(brute(rows))
+
+
+def test_a_shared_template_makes_no_bucket_of_rare_items(spark):
+    # All sets hold items 0 to 59 and 20 of their own, so none is linked with another.
+    n = 400
+    rows = [(k, 80, [*range(60), *range(1_000 + 20 * k, 1_020 + 20 * k)]) for k in range(n)]
+    rows.append((n, 80, rows[0][2][:79] + [999]))
+    sets = spark.createDataFrame(rows, "node long, size long, items array<long>")
+    nodes = sets.select("node", "size")
+    dealt = linking._by_rare_items(nodes, sets, lambda size: F.floor(size / 10))
+    found = {}
+    for r in dealt.collect():
+        found.setdefault(r.key, set()).add(r.node)
+    assert all(len(nodes) < 3 for nodes in found.values())
+    assert {0, n} in found.values()
+
+
 def test_given_documents(given):
     docs = given("documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
