@@ -7,6 +7,10 @@ a document is a candidate only if D + 2 elements of its prefix are in other pref
 linked candidates share either a rare element of the prefix, or two frequent ones that are
 neighbours in both. Those are the keys of the index: single elements for the rare class,
 combinations of two for the frequent one. Members of a bucket are verified on whole sets.
+
+Long prefixes are sent only for documents that a shorter one leaves: the first
+floor(n (1 - s)) + k elements of two linked sets have k in common, so a document that shares
+fewer of them with any other has no link.
 """
 
 from __future__ import annotations
@@ -18,8 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from oreworks.llm.hot import meet
 from oreworks.llm.lineage import cut
 from oreworks.llm.linking import SKETCH, group
+from oreworks.llm.rows import sized
 from oreworks.llm.words import hashed_texts, mix, shingle_hashes
 
 SHINGLE_WORDS = 3
@@ -107,15 +113,16 @@ def _whole_sets(width: int):
     return make
 
 
+def _found_twice(prefixes: DataFrame) -> DataFrame:
+    """item, n of the elements that two or more prefixes have. What counting has shuffled is
+    free before the prefixes themselves are sent."""
+    return cut(prefixes.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+
+
 def _shared(prefixes: DataFrame) -> DataFrame:
     """node, at, item, often of the elements that two or more prefixes have."""
-    kinds = (
-        prefixes.groupBy("item")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("item", (F.col("n") > RARE).alias("often"))
-    )
-    return prefixes.join(kinds.hint("shuffle_hash"), "item")
+    met = meet(prefixes, _found_twice(prefixes), "item")
+    return met.select("node", "at", "item", (F.col("n") > RARE).alias("often"))
 
 
 def _enough(shared: DataFrame, needs: DataFrame) -> DataFrame:
@@ -129,6 +136,28 @@ def _enough(shared: DataFrame, needs: DataFrame) -> DataFrame:
     )
 
 
+def _more(size: Column, similarity: int) -> Column:
+    """By how many elements short prefixes are longer than any two linked sets differ by."""
+    return F.floor(F.floor(size * (100 - similarity) / similarity) / 3) + 1
+
+
+def _likely(nodes: DataFrame, similarity: int) -> DataFrame:
+    """The nodes (row, size, prefix) whose short prefix shares enough with others.
+
+    Prefixes of floor(n (1 - s)) + k elements of two linked sets have at least k in common, for
+    the smaller k of both; the smallest linked set has ceil(n s) elements.
+    """
+    length = F.floor(F.col("size") * (100 - similarity) / 100) + _more(F.col("size"), similarity)
+    smallest = F.ceil(F.col("size") * similarity / 100)
+    short = nodes.select("row", F.explode(F.slice("prefix", 1, length.cast("int"))).alias("item"))
+    shares = (
+        meet(short, _found_twice(short), "item").groupBy("row").agg(F.count(F.lit(1)).alias("has"))
+    )
+    needs = nodes.select("row", _more(smallest, similarity).alias("need"))
+    left = sized(cut(shares.join(needs, "row").where("has >= need").select("row")))
+    return nodes.join(left, "row", "left_semi")
+
+
 def _keys(shared: DataFrame) -> DataFrame:
     """key, node: single rare elements, and pairs of frequent neighbours in the prefix."""
     in_order = Window.partitionBy("node").orderBy("at")
@@ -164,15 +193,15 @@ def _grouped(docs: DataFrame, id: str, text: str, width: int, similarity: int) -
     firsts = (
         made.where("size > 0").groupBy("high", "low").agg(F.min("row").alias("row")).select("row")
     )
-    nodes = made.select("row", "prefix").join(firsts, "row", "left_semi")
-    exploded = nodes.select(
+    nodes = made.select("row", "size", "prefix").join(sized(cut(firsts)), "row", "left_semi")
+    exploded = _likely(nodes, similarity).select(
         F.col("row").alias("node"), F.posexplode("prefix").alias("at", "item")
     )
     different = F.floor(F.col("size") * (100 - similarity) / similarity)
     needs = made.select(
         F.col("row").alias("node"), F.least(different + 2, F.size("prefix")).alias("need")
     )
-    once = _enough(_shared(exploded), needs)
+    once = cut(_enough(_shared(exploded), needs))
     # Elements may be shared with nodes only that are left out by now.
     candidates = cut(_enough(_shared(once.drop("often")), needs))
     wanted = cut(

@@ -115,3 +115,27 @@ def test_components_of_a_chain(spark):
     assert all(found[k] == 0 for k in range(51))
     assert {found[k] for k in (100, 101, 102)} == {100}
     assert components(edges.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("similarity", [80, 90])
+def test_short_prefixes_lose_no_linked_set(make, similarity):
+    """Sets of all small sizes, each with one at the limit of what links, in any hash order."""
+    rng = random.Random(similarity)
+    rows, linked = [], set()
+    for size in range(1, 90):
+        base = rng.sample(range(-(2**61), 2**61), size)
+        out = rng.randint(0, size * (100 - similarity) // 100)
+        kept = base[out:]
+        most = len(kept) * 100 // similarity - size  # elements that the other may have besides
+        other = kept + rng.sample(range(-(2**61), 2**61), max(0, rng.randint(0, max(0, most))))
+        pair = [sorted(x, key=lambda v: v % 2**64) for x in (base, other)]
+        both = len(set(base) & set(other))
+        for x in pair:
+            prefix = x[: 2 * jaccard_join.most_different(len(x), similarity) + 2]
+            rows.append((len(rows), len(x), prefix))
+            if 100 * both >= similarity * len(set(base) | set(other)):
+                linked.add(len(rows) - 1)
+    spark = make([]).sparkSession
+    nodes = spark.createDataFrame(rows, "row bigint, size bigint, prefix array<bigint>")
+    left = {r["row"] for r in jaccard_join._likely(nodes, similarity).collect()}
+    assert len(linked) > 100 and linked <= left
