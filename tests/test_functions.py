@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import random
 import re
 
 import pytest
@@ -77,6 +78,25 @@ def test_account_mask_by_position_equals_the_pattern(spark, texts):
     assert apply(spark, fn.mask_account, texts) == want
 
 
+def test_mask_account_by_line_is_the_pattern(spark):
+    """Lines of any length, breaks of any kind, letters beyond ASCII."""
+    rng = random.Random(5)
+    letters = "ab@é漢ß \n\r\u0085\u2028\u2029"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(2000)]
+    texts += ["äbc@\n", "\n\nabcdé@", "abcé\r\nxyz@@\r\n", "😀abcd@x", "ab😀cd@x", "é" * 6 + "@😀@"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    by_pattern = F.regexp_replace("t", ACCOUNT_CHARS, "*")
+    got = rows.select(fn.mask_account("t").alias("a"), by_pattern.alias("b"))
+    assert got.filter("NOT a <=> b").collect() == []
+
+
+def test_mask_account_of_a_long_line_is_linear(spark):
+    rows = spark.createDataFrame([("é" * 2_000_000 + "@x",)], "t string")
+    masked = fn.mask_account("t")
+    row = rows.select(F.length(masked), F.right(masked, F.lit(4)))
+    assert tuple(row.first()) == (2_000_002, "**@x")
+
+
 def test_masks_on_whole_documents(spark):
     """Free text with line breaks and e-mail addresses, against a mask written by hand."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
