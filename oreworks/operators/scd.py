@@ -197,19 +197,30 @@ def _with_incoming(
     dimension: DataFrame, batch: DataFrame, keys: Sequence[str], attributes: Sequence[str]
 ) -> DataFrame:
     """The dimension, with the batch's attributes as ``incoming``, NULL where unmatched."""
-    incoming = unique_by_key(batch.select(*keys, *attributes), keys).withColumnRenamed(
-        "row", "incoming"
-    )
+    incoming = _unique(batch, keys, attributes)
     joined = dimension.alias("r").join(incoming.alias("o"), same_keys(keys), "left")
-    return joined.select("r.*", "o.incoming")
+    return joined.select("r.*", F.col("o.row.attributes").alias("incoming"))
 
 
 def _unmatched(
     batch: DataFrame, dimension: DataFrame, keys: Sequence[str], attributes: Sequence[str]
 ) -> DataFrame:
-    """The batch's rows of new keys."""
-    incoming = unique_by_key(batch.select(*keys, *attributes), keys)
-    return without_keys(incoming, dimension, keys).select(*keys, "row.*")
+    """The batch's rows of new keys.
+
+    Keys come out of the row, not of the join: Spark 4.1 takes a union of two joins by one key
+    for partitioned by it, reads a join with that union without a shuffle, and then fails
+    on unequal numbers of partitions, when a dimension is merged twice in one query.
+    """
+    incoming = _unique(batch, keys, attributes)
+    return without_keys(incoming, dimension, keys).select("row.key.*", "row.attributes.*")
+
+
+def _unique(batch: DataFrame, keys: Sequence[str], attributes: Sequence[str]) -> DataFrame:
+    """The batch as keys and ``row``, a struct of ``key`` and ``attributes``."""
+    parts = F.struct(*keys).alias("key"), F.struct(*attributes).alias("attributes")
+    rows = batch.select(*[F.col(k).alias(f"by_{n}") for n, k in enumerate(keys)], *parts)
+    unique = unique_by_key(rows, [f"by_{n}" for n in range(len(keys))])
+    return unique.select(*[F.col(f"by_{n}").alias(k) for n, k in enumerate(keys)], "row")
 
 
 def _require_known(dimension: DataFrame, batch: DataFrame) -> None:

@@ -152,6 +152,20 @@ def test_dimensions_repeat_no_null_keys_and_lose_no_rows(spark):
     assert op.scd2_apply(unknown, batch, ["k"], at(T1)).count() == 4
 
 
+@pytest.mark.parametrize("stamp, apply", [(op.scd1_stamp, op.scd1_apply), (op.scd2_stamp, op.scd2_apply)])
+def test_dimensions_too_large_to_broadcast_are_merged_twice_in_one_query(spark, stamp, apply):
+    batch = spark.createDataFrame([(None, "a"), (1, "b"), (3, "d")], "key int, v string")
+    first = stamp(spark.createDataFrame([(1, "a"), (2, "c")], "key int, v string"), at(T0))
+    want = rows(apply(first, batch, ["key"], at(T1)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        once = apply(first, batch, ["key"], at(T1))
+        assert rows(apply(once, batch, ["key"], at(T1))) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("key", [None, 1])
 def test_dimensions_refuse_batches_that_repeat_a_key(spark, key):
     one = spark.createDataFrame([(key, "a"), (7, "x")], "k int, v string")
