@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def release(spark: SparkSession) -> None:
+#: Seconds after which the JVM has heard of what Python has let go; it is told once a second.
+TOLD = 1.2
+
+
+def release(spark: SparkSession, wait: float = 0.0) -> None:
     """Let Spark delete what queries without a reference have shuffled and kept.
 
     It does so when the driver's garbage is collected, which would otherwise happen only when
-    the driver runs short of memory.
+    the driver runs short of memory. Without a wait of TOLD seconds, what was let go just before
+    is deleted by the next call only.
     """
     gc.collect()
+    time.sleep(wait)
     spark.sparkContext._jvm.System.gc()
 
 

@@ -1,16 +1,18 @@
 """Log probabilities of texts under a language model fitted by deleted interpolation.
 
-A word's probability mixes its maximum-likelihood estimate, its share of all training tokens,
-with that of spelling it: the product over its bytes, and the blank after it, of byte
-probabilities. A byte's probability mixes the maximum-likelihood estimates of its trigram,
-bigram and unigram and a uniform one. The weight of each order depends on a bucket of its
-context's frequency. All weights are learned by expectation-maximisation on a tenth of the
-training texts, whose counts are left out meanwhile; then all training texts are counted.
-
-Word counts have no bound, so they never leave the executors. Texts are worked on in chunks.
-Each chunk asks once for each of its distinct words, packed by hash into buckets; a bucket adds
-up what all chunks have counted and answers each. A frequent word thus weighs one entry a
-chunk. Byte trigrams have at most 2**24 kinds, and the driver mixes them.
+A word's probability after another mixes the maximum-likelihood estimate of the two, its share
+of what follows the other, with that of the word alone; the weight depends on a bucket of the
+other word's frequency. A text's first word follows the end of a text. The word alone mixes its
+share of all training tokens with the probability of spelling it: the product over its bytes,
+and the blank after it, of byte probabilities. A byte's probability mixes the maximum-likelihood
+estimates of its trigram, bigram and unigram and a uniform one, weighted by buckets of the
+context's frequency as well. All weights are learned by expectation-maximisation on a tenth of
+the training texts, whose counts are left out meanwhile; then all training texts are counted.
+
+Counts of words and of pairs have no bound, so they never leave the executors. Texts are worked
+on in chunks, each kept as the numbers of its words. A chunk asks once for each of its distinct
+words and pairs, by ranges of hashes; such a bucket adds up what all have counted and answers each. A frequent word or pair
+thus weighs one entry a chunk. Byte trigrams have at most 2**24 kinds, and the driver mixes them.
 """
 
 from __future__ import annotations
@@ -23,10 +25,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from oreworks.llm.language_id import held_out
-from oreworks.llm.lineage import cut
-from oreworks.llm.words import BLANK_SEPARATED, batched, hash_words, text_bytes
+from oreworks.llm.lineage import TOLD, cut, release
+from oreworks.llm.words import BLANK_SEPARATED, batched, hash_words, mix, text_bytes
 
 #: One in so many training texts is left out of the counts that weights are learned on.
 DELETED = 10
@@ -39,7 +42,7 @@ TEXTS_PER_BUCKET = 5_000
 END_WORD = np.uint64(0xE7D0F1E7D0F1E7D1)
 END_BYTE = 0x0A
 BLANK = 0x20
-#: Bins per power of ten, and their range, for the ratio of a count to a spelling.
+#: Bins per power of ten, and their range, for the ratio of an estimate to the one below it.
 BINS, LOW_BIN, HIGH_BIN = 10, -200, 4000
 
 
@@ -171,59 +174,106 @@ class _Chunk:
         self.spelled: list[np.ndarray] = []
         self.bytes = 0
 
-    def pack(self, number: int, buckets: int, spelled_end: float) -> tuple[dict, list[dict]]:
-        """The chunk's row, and its questions by bucket."""
+    def pack(self, number: int, spelled_end: float) -> dict:
+        """The chunk's row: its text as numbers of words, which are ordered by frequency."""
         sizes = np.array(self.sizes) + 1
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        ends = np.cumsum(sizes) - 1
-        hashes = np.empty(len(owner), dtype=np.uint64)
-        spelled = np.empty(len(owner), dtype=np.float32)
-        is_end = np.zeros(len(owner), dtype=bool)
-        is_end[ends] = True
+        hashes = np.empty(sizes.sum(), dtype=np.uint64)
+        spelled = np.empty(len(hashes), dtype=np.float32)
+        is_end = np.zeros(len(hashes), dtype=bool)
+        is_end[np.cumsum(sizes) - 1] = True
         hashes[is_end], spelled[is_end] = END_WORD, spelled_end
         hashes[~is_end] = np.concatenate(self.words)
         spelled[~is_end] = np.concatenate(self.spelled)
-        order = np.argsort(hashes, kind="stable")
-        hashes, owner = hashes[order], owner[order]
-        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        at = np.cumsum(np.concatenate([[0], hashes[1:] != hashes[:-1]]))
-        words, spelled = hashes[first], spelled[order][first]
-        held, deleted = np.array(self.held), np.array(self.deleted)
-        kept_counts = np.bincount(at, ~held[owner] & ~deleted[owner], len(words))
-        deleted_counts = np.bincount(at, ~held[owner] & deleted[owner], len(words))
-        # Postings: how often each text has each word.
-        new = np.concatenate([[True], (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])])
-        starts = np.flatnonzero(new)
-        times = np.diff(np.append(starts, len(owner)))
-        bucket = (words % np.uint64(buckets)).astype(np.int64)
-        by_bucket = np.argsort(bucket, kind="stable")
-        place = np.empty(len(words), dtype=np.int64)
-        place[by_bucket] = np.arange(len(words))
-        row = {
+        words, first, at, n = np.unique(
+            hashes, return_index=True, return_inverse=True, return_counts=True
+        )
+        # Frequent words have small numbers, so that the text packs well.
+        order = np.argsort(-n, kind="stable")
+        number_of = np.empty(len(order), dtype=np.uint32)
+        number_of[order] = np.arange(len(order))
+        return {
             "chunk": number,
             "ids": self.ids,
             "held": self.held,
+            "deleted": self.deleted,
             "tokens": sizes.tolist(),
-            "word": place[at[starts]].astype(np.uint32).tobytes(),
-            "owner": owner[starts].astype(np.uint32).tobytes(),
-            "times": times.astype(np.uint32).tobytes(),
-            "spelled": spelled[by_bucket].tobytes(),
+            "text": _packed(number_of[at]),
+            "known": words[order].tobytes(),
+            "spelling": _packed(spelled[first][order]),
         }
-        cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-        asked = []
-        for k in np.flatnonzero(np.diff(cuts)):
-            chosen = by_bucket[cuts[k] : cuts[k + 1]]
-            asked.append(
-                {
-                    "chunk": number,
-                    "bucket": int(k),
-                    "words": words[chosen].tobytes(),
-                    "kept": kept_counts[chosen].astype(np.uint32).tobytes(),
-                    "left": deleted_counts[chosen].astype(np.uint32).tobytes(),
-                    "spelled": spelled[chosen].tobytes(),
-                }
-            )
-        return row, asked
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers, all first bytes before all second ones, compressed; their size comes first."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True), np.uint8)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(width, -1).T).reshape(-1).view(kind)
+
+
+def _pairs(at: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of words that follow each other, as numbers; which one ends at each word;
+    and their hashes. The first word of a text follows the end of the one before it, and that
+    of all the end of the last."""
+    kinds, pair_at = np.unique(np.roll(at, 1) << 32 | at, return_inverse=True)
+    odd = np.uint64(0x9E3779B97F4A7C15)
+    return kinds, pair_at, mix(words[kinds >> 32] * odd + words[kinds & 0xFFFFFFFF])
+
+
+class _Text:
+    """A chunk's words in order, and the distinct words and pairs of it."""
+
+    def __init__(self, row):
+        self.sizes = np.asarray(row["tokens"], dtype=np.int64)
+        self.at = _unpacked(row["text"], np.uint32).astype(np.int64)
+        self.words = np.frombuffer(row["known"], np.uint64)
+        self.spelled = _unpacked(row["spelling"], np.float32)
+        kinds, self.pair_at, self.pairs = _pairs(self.at, self.words)
+        self.before, self.word = kinds >> 32, kinds & 0xFFFFFFFF
+        held, deleted = (np.asarray(row[c], dtype=bool) for c in ("held", "deleted"))
+        self.kept, self.left = np.repeat([~held & ~deleted, ~held & deleted], self.sizes, axis=1)
+
+
+def _questions(buckets: int, schema: pa.Schema):
+    """What each chunk asks of each bucket, a range of hashes: these, as steps from one to the
+    next, with the chunk's own counts."""
+    edges = np.array([(k << 64) // buckets for k in range(buckets)], dtype=np.uint64)
+
+    def of(row: dict) -> list[dict]:
+        x = _Text(row)
+        asked = [{"chunk": row["chunk"], "bucket": k} for k in range(buckets)]
+        for names, hashes, at in (
+            (("words", "kept", "left"), x.words, x.at),
+            (("pairs", "pair_kept", "pair_left"), x.pairs, x.pair_at),
+        ):
+            order = np.argsort(hashes)
+            counts = [np.bincount(at, chosen, len(hashes)).astype(np.uint32) for chosen in (x.kept, x.left)]
+            columns = dict(zip(names, [hashes, *counts]))
+            if names[0] == "words":
+                columns["spelled"] = x.spelled
+            bounds = np.append(np.searchsorted(hashes[order], edges), len(order))
+            for k, question in enumerate(asked):
+                chosen = order[bounds[k] : bounds[k + 1]]
+                for name, values in columns.items():
+                    part = values[chosen]
+                    if values is hashes:
+                        part = np.diff(part, prepend=np.uint64(0))
+                    question[name] = _packed(part)
+                question["any"] = question.get("any", False) or len(chosen) > 0
+        return [question for question in asked if question.pop("any")]
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                (row,) = batch.slice(k, 1).to_pylist()
+                yield pa.RecordBatch.from_pylist(of(row), schema=schema)
+
+    return make
 
 
 def _spelled_words(data: np.ndarray, starts, ends, spelling: Spelling) -> np.ndarray:
@@ -234,10 +284,7 @@ def _spelled_words(data: np.ndarray, starts, ends, spelling: Spelling) -> np.nda
     return (sums[at + (ends - starts) + 1] - sums[at]).astype(np.float32)
 
 
-CHUNK_COLUMNS = "word binary, owner binary, times binary, spelled binary"
-
-
-def _chunks(spelling: Spelling, buckets: int, schema: pa.Schema):
+def _chunks(spelling: Spelling, schema: pa.Schema):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -248,8 +295,7 @@ def _chunks(spelling: Spelling, buckets: int, schema: pa.Schema):
         chunk = _Chunk()
 
         def packed() -> pa.RecordBatch:
-            row, asked = chunk.pack(made, buckets, spelled_end)
-            return pa.RecordBatch.from_pylist([row, *asked], schema=schema)
+            return pa.RecordBatch.from_pylist([chunk.pack(made, spelled_end)], schema=schema)
 
         for batch in batches:
             ids, held = batch["id"].to_pylist(), batch["held"].to_pylist()
@@ -280,18 +326,33 @@ def _bin(kept: np.ndarray, spelled: np.ndarray) -> np.ndarray:
     return np.where(kept > 0, np.clip(ratio, LOW_BIN, HIGH_BIN), LOW_BIN - 1)
 
 
+def _added_up(table: pa.Table, keys: str, kept: str, left: str):
+    """Distinct keys of all chunks' questions: which of them each is, where each chunk's end,
+    the first of each, and how often texts that are kept, and left out, have them."""
+    parts = [np.cumsum(_unpacked(x, np.uint64), dtype=np.uint64) for x in table[keys].to_pylist()]
+    kinds, first, at = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
+    sums = [
+        np.bincount(
+            at, np.concatenate([_unpacked(x, np.uint32) for x in table[c].to_pylist()]), len(kinds)
+        ).astype(np.int64)
+        for c in (kept, left)
+    ]
+    return at, np.cumsum([len(p) for p in parts])[:-1], first, *sums
+
+
 def _answers(table: pa.Table) -> pa.Table:
-    """All chunks' counts of a bucket's words, added up and sent back to each chunk."""
-    parts = [np.frombuffer(x, np.uint64) for x in table["words"].to_pylist()]
-    kept = np.concatenate([np.frombuffer(x, np.uint32) for x in table["kept"].to_pylist()])
-    left = np.concatenate([np.frombuffer(x, np.uint32) for x in table["left"].to_pylist()])
-    spelled = np.concatenate([np.frombuffer(x, np.float32) for x in table["spelled"].to_pylist()])
-    words, first, at = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
-    kept_all = np.bincount(at, kept, len(words)).astype(np.int64)
-    left_all = np.bincount(at, left, len(words)).astype(np.int64)
+    """All chunks' counts of a bucket's words and pairs, added up and sent back to each chunk."""
+    spelled = np.concatenate([_unpacked(x, np.float32) for x in table["spelled"].to_pylist()])
+    at, ends, first, kept_all, left_all = _added_up(table, "words", "kept", "left")
     total = kept_all + left_all
-    ends = np.cumsum([len(p) for p in parts])
-    counts = [total[a].tobytes() for a in np.split(at, ends[:-1])]
+    answers = {
+        "counts": [_packed(total[a]) for a in np.split(at, ends)],
+        "kept_counts": [_packed(kept_all[a]) for a in np.split(at, ends)],
+    }
+    pair_at, pair_ends, _, pair_kept, pair_left = _added_up(table, "pairs", "pair_kept", "pair_left")
+    both = pair_kept + pair_left
+    answers["pair_counts"] = [_packed(both[a]) for a in np.split(pair_at, pair_ends)]
+    answers["pair_kept_counts"] = [_packed(pair_kept[a]) for a in np.split(pair_at, pair_ends)]
     bins, where = np.unique(_bin(kept_all, spelled[first]), return_inverse=True)
     seen = np.bincount(where, left_all, len(bins)).astype(np.int64)
     by_letters = 10.0 ** spelled[first].astype(np.float64)
@@ -300,7 +361,7 @@ def _answers(table: pa.Table) -> pa.Table:
         {
             "chunk": pa.array([*table["chunk"].to_pylist(), None], pa.int64()),
             "bucket": pa.array([int(table["bucket"][0].as_py())] * (rows + 1), pa.int32()),
-            "counts": pa.array([*counts, None], pa.binary()),
+            **{c: pa.array([*x, None], pa.binary()) for c, x in answers.items()},
             "tokens": pa.array([None] * rows + [int(total.sum())], pa.int64()),
             "kept": pa.array([None] * rows + [int(kept_all.sum())], pa.int64()),
             "kinds": pa.array([None] * rows + [int((total > 0).sum())], pa.int64()),
@@ -312,7 +373,10 @@ def _answers(table: pa.Table) -> pa.Table:
 
 
 def word_weight(bins: np.ndarray, seen: np.ndarray, kept: int) -> float:
-    """Weight of a word's share of the tokens against its spelling, from the words left out."""
+    """Weight of a word's share of the tokens against its spelling, from the words left out.
+
+    A word alone has no context, so there is one; ``context_weights`` are for a word after another.
+    """
     if not kept or not seen.sum():
         return 0.0 if not kept else 0.5
     ratio = 10.0 ** np.minimum((bins + 0.5) / BINS - np.log10(kept), 300)
@@ -320,34 +384,96 @@ def word_weight(bins: np.ndarray, seen: np.ndarray, kept: int) -> float:
     return float(_em(np.zeros(len(bins), dtype=int), seen, share, np.ones(len(bins)))[0])
 
 
-def _scores(weight: float, tokens: int, kinds: int, unknown: float):
+def context_bucket(counts: np.ndarray) -> np.ndarray:
+    """Words as contexts, by their frequency: 0 for those never seen, then a bucket per doubling."""
+    return np.where(counts > 0, np.log2(np.maximum(counts, 1)).astype(np.int64) + 1, 0)
+
+
+def context_weights(buckets: np.ndarray, bins: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Weight of a word's share of what follows the word before it against the word alone, by
+    the latter's bucket, from the pairs left out; where there are none, that of the bucket below.
+
+    One more pair that is new counts in each bucket, so that no weight leaves nothing to others.
+    """
+    if not seen.sum():
+        return np.zeros(1)
+    share = np.where(bins < LOW_BIN, 0.0, 10.0 ** np.minimum((bins + 0.5) / BINS, 300))
+    each = np.unique(buckets)
+    weights = _em(
+        np.append(buckets, each),
+        np.append(seen, np.ones(len(each))),
+        np.append(share, np.zeros(len(each))),
+        np.ones(len(bins) + len(each)),
+    )
+    learned = np.bincount(buckets, seen, len(weights)) > 0
+    learned[0], weights[0] = True, 0.0
+    return weights[np.maximum.accumulate(np.where(learned, np.arange(len(weights)), 0))]
+
+
+class _Answered(_Text):
+    """A chunk with the counts that it asked for: of words, and of pairs of them."""
+
+    def __init__(self, chunk: pd.DataFrame, answers: pd.DataFrame):
+        self.row = chunk.iloc[0]
+        super().__init__(self.row)
+        answers = answers.sort_values("bucket")
+
+        def placed(column: str, hashes: np.ndarray) -> np.ndarray:
+            counts = np.empty(len(hashes), dtype=np.int64)
+            parts = [_unpacked(x, np.int64) for x in answers[column]]
+            counts[np.argsort(hashes)] = np.concatenate(parts)
+            return counts
+
+        self.counts = placed("counts", self.words)
+        self.kept_counts = placed("kept_counts", self.words)
+        self.pair_counts = placed("pair_counts", self.pairs)
+        self.pair_kept_counts = placed("pair_kept_counts", self.pairs)
+
+
+def _alone(weight: float, counts: np.ndarray, tokens: int, spelled: np.ndarray) -> np.ndarray:
+    return weight * counts / max(tokens, 1) + (1 - weight) * 10.0 ** spelled.astype(np.float64)
+
+
+def _pair_events(weight: float, kept: int):
+    """Pairs in texts left out, by context and by how much likelier the pair makes the word."""
+
+    def events(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        x = _Answered(chunk, answers)
+        n = np.bincount(x.pair_at, x.left, len(x.pairs)).astype(np.int64)
+        found = np.flatnonzero(n)
+        alone = _alone(weight, x.kept_counts, kept, x.spelled)
+        before = x.kept_counts[x.before[found]]
+        lower = np.log10(np.maximum(before * alone[x.word[found]], 1e-300))
+        bins = _bin(x.pair_kept_counts[found], lower)
+        table = pd.DataFrame({"context": context_bucket(before), "bin": bins, "n": n[found]})
+        return table.groupby(["context", "bin"], as_index=False).sum()
+
+    return events
+
+
+def _scores(weight: float, weights: np.ndarray, tokens: int, kinds: int, unknown: float):
     floor = np.log10(tokens + kinds + 1)
 
     def score(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        row = chunk.iloc[0]
-        answers = answers.sort_values("bucket")
-        counts = np.concatenate([np.frombuffer(x, np.int64) for x in answers["counts"]])
-        word, owner, times = (
-            np.frombuffer(row[c], np.uint32).astype(np.int64) for c in ("word", "owner", "times")
-        )
-        spelled = 10.0 ** np.frombuffer(row["spelled"], np.float32).astype(np.float64)
-        mixed = weight * counts / max(tokens, 1) + (1 - weight) * spelled
-        mixed = np.where(counts > 0, mixed, unknown)
-        n = len(row["ids"])
-        own = np.asarray(row["tokens"], dtype=np.int64)
+        x = _Answered(chunk, answers)
+        alone = np.where(x.counts > 0, _alone(weight, x.counts, tokens, x.spelled), unknown)
+        before = x.counts[x.before]
+        w = weights[np.minimum(context_bucket(before), len(weights) - 1)]
+        mixed = w * x.pair_counts / np.maximum(before, 1) + (1 - w) * alone[x.word]
+        owner = np.repeat(np.arange(len(x.sizes)), x.sizes)
 
         def summed(values: np.ndarray) -> np.ndarray:
-            return np.bincount(owner, times * values[word], n)
+            return np.bincount(owner, values, len(x.sizes))
 
         return pd.DataFrame(
             {
-                "id": row["ids"],
-                "held_out": row["held"],
-                "n_tokens": own,
-                "n_known": summed((counts > 0).astype(np.float64)).astype(np.int64),
+                "id": x.row["ids"],
+                "held_out": x.row["held"],
+                "n_tokens": x.sizes,
+                "n_known": summed((x.counts > 0)[x.at]).astype(np.int64),
                 "train_tokens": tokens,
-                "base_score": summed(np.log10(counts + 1)) - own * floor,
-                "score": summed(np.log10(np.maximum(mixed, 1e-300))),
+                "base_score": summed(np.log10(x.counts + 1)[x.at]) - x.sizes * floor,
+                "score": summed(np.log10(np.maximum(mixed, 1e-300))[x.pair_at]),
             }
         )
 
@@ -359,9 +485,9 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
 
     Texts whose id's CRC-32 leaves 2 by 7 are held out: nothing is learned from them. Tokens
     are the words between blanks, ASCII upper case as lower, and an end. base_score uses
-    add-one word counts, score the mixed model; both are sums of log10, and in both all words
-    that no training text has are one unknown token. The mixed model gives it what it leaves
-    to all spellings that are not known words. Null texts are empty and have the end alone.
+    add-one word counts, score the mixed model, in which the order of words counts; both are sums
+    of log10, and in both all words that no training text has are one unknown token. The mixed
+    model gives it what it leaves to all spellings that are not known words. Null texts are empty and have the end alone.
     A null id counts as '' and stays null. Repeated rows count each; other columns are left
     out; an empty table gives an empty one. Without training texts all tokens are unknown, and
     certain.
@@ -394,24 +520,28 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     spelling = fit_spelling(codes, kept, left)
 
     kind = docs.schema[id].dataType.simpleString()
-    empty = spark.createDataFrame(
-        [],
-        f"chunk bigint, ids array<{kind}>, held array<boolean>, tokens array<bigint>,"
-        f" {CHUNK_COLUMNS}, bucket int, words binary, kept binary, `left` binary",
+    chunk_kind = (
+        f"chunk bigint, ids array<{kind}>, held array<boolean>, deleted array<boolean>,"
+        " tokens array<bigint>, text binary, known binary, spelling binary"
     )
-    packed = cut(
-        rows.mapInArrow(_chunks(spelling, buckets, to_arrow_schema(empty.schema)), empty.schema)
-    )
-    asked = packed.where("bucket IS NOT NULL").select(
-        "chunk", "bucket", "words", "kept", "left", "spelled"
+    question_kind = "chunk bigint, bucket int, words binary, kept binary, `left` binary," + (
+        " spelled binary, pairs binary, pair_kept binary, pair_left binary"
     )
+
+    def arrow(kind: str) -> pa.Schema:
+        return to_arrow_schema(spark.createDataFrame([], kind).schema)
+
+    whole = cut(rows.mapInArrow(_chunks(spelling, arrow(chunk_kind)), chunk_kind))
+    asked = whole.mapInArrow(_questions(buckets, arrow(question_kind)), question_kind)
     answers = cut(
         asked.groupBy("bucket").applyInArrow(
             _answers,
-            "chunk bigint, bucket int, counts binary, tokens bigint, kept bigint, kinds bigint,"
-            " known double, bins array<bigint>, seen array<bigint>",
+            "chunk bigint, bucket int, counts binary, kept_counts binary, pair_counts binary,"
+            " pair_kept_counts binary, tokens bigint, kept bigint, kinds bigint, known double,"
+            " bins array<bigint>, seen array<bigint>",
         )
     )
+    release(spark, TOLD)  # the questions, before whole chunks are shuffled
     told = answers.where("chunk IS NULL")
     tokens, kept_tokens, kinds, known = told.agg(
         *[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "kept", "kinds", "known")]
@@ -426,16 +556,26 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     weight = word_weight(
         np.array([r[0] for r in seen], dtype=np.int64), np.array([r[1] for r in seen]), kept_tokens
     )
-    whole = packed.where("bucket IS NULL").select(
-        "chunk", "ids", "held", "tokens", *[c.split()[0] for c in CHUNK_COLUMNS.split(", ")]
+    counts = ["counts", "kept_counts", "pair_counts", "pair_kept_counts"]
+    told_chunks = answers.where("chunk IS NOT NULL").select("chunk", "bucket", *counts)
+
+    def with_answers() -> PandasCogroupedOps:
+        return whole.groupBy("chunk").cogroup(told_chunks.groupBy("chunk"))
+
+    pairs = (
+        with_answers()
+        .applyInPandas(_pair_events(weight, kept_tokens), "context bigint, bin bigint, n bigint")
+        .groupBy("context", "bin")
+        .agg(F.sum("n").alias("n"))
+        .orderBy("context", "bin")
+        .toPandas()
     )
-    scored = (
-        whole.groupBy("chunk")
-        .cogroup(answers.where("chunk IS NOT NULL").select("chunk", "bucket", "counts").groupBy("chunk"))
-        .applyInPandas(
-            _scores(weight, tokens, kinds, (1 - weight) * max(0.0, 1 - known)),
-            f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint,"
-            " base_score double, score double",
-        )
+    weights = context_weights(*(pairs[c].to_numpy(np.int64) for c in ("context", "bin", "n")))
+    release(spark, TOLD)  # the chunks that were shuffled, before they are once more
+    unknown = (1 - weight) * max(0.0, 1 - known)
+    scored = with_answers().applyInPandas(
+        _scores(weight, weights, tokens, kinds, unknown),
+        f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint,"
+        " base_score double, score double",
     )
     return scored.withColumnRenamed("id", id)
