@@ -19,6 +19,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._sold: DataFrame | None = None
 
     def given(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
@@ -74,7 +75,7 @@ class Inputs:
 
     def orders(self) -> DataFrame:
         before = F.col("o_orderdate") < F.lit(CUT_OVER).cast("timestamp_ntz")
-        return self._with_seller(self.given("orders").filter(before)).selectExpr(
+        return self._with_seller(before).selectExpr(
             "md5(cast(o_orderkey AS string)) AS order_id",
             "o_custkey AS customer_id",
             "seller_id",
@@ -85,7 +86,7 @@ class Inputs:
 
     def orders_new(self) -> DataFrame:
         after = F.col("o_orderdate") >= F.lit(CUT_OVER).cast("timestamp_ntz")
-        rows = self._with_seller(self.given("orders").filter(after))
+        rows = self._with_seller(after)
         return rows.withColumn("copy", _copies("o_orderkey % 3 = 0")).selectExpr(
             "o_orderkey AS order_id",
             "o_custkey AS customer_id",
@@ -94,7 +95,16 @@ class Inputs:
             "o_orderpriority AS payment_method",
         )
 
-    def _with_seller(self, orders: DataFrame) -> DataFrame:
+    def keep_sellers(self, path: str) -> None:
+        """Find the orders' sellers now, once for all raw tables that are made afterwards."""
+        columns = "o_orderkey", "o_custkey", "seller_id", "o_orderdate", "o_totalprice", "o_orderpriority"
+        self._with_seller(F.lit(True)).select(*columns).write.parquet(path)
+        self._sold = self.spark.read.parquet(path)
+
+    def _with_seller(self, chosen: Column) -> DataFrame:
+        if self._sold is not None:
+            return self._sold.filter(chosen)
+        orders = self.given("orders").filter(chosen)
         first_seller = (
             self.given("lineitem")
             .groupBy(F.col("l_orderkey").alias("o_orderkey"))

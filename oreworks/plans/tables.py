@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,20 +190,37 @@ def build_lake(
 ) -> dict[str, LayerReport]:
     """All tables, layer by layer. ``as_of`` is the date and time the run counts from.
 
-    Tables of a layer are built at the same time; those that add to another come after.
+    Each table is built as soon as those that it reads, or adds to, are there, and at the same
+    time as others. If one fails, those that need it fail with it.
     """
     lake.create_schemas(spark)
-    added = {name: spec for name, spec in SILVER.items() if spec.mode == "append"}
-    first = {name: spec for name, spec in SILVER.items() if name not in added}
+    made = {("bronze", spec.table): [f"bronze.{name}"] for name, spec in BRONZE.items()}
+    silver = sorted(SILVER.items(), key=lambda item: item[1].mode == "append")
     steps = [
-        ("bronze", BRONZE, lambda spec: ingest_bronze(spark, lake, spec)),
-        ("silver", first, lambda spec: refine_silver(spark, lake, spec, as_of)),
-        ("silver", added, lambda spec: refine_silver(spark, lake, spec, as_of)),
-        ("gold", GOLD, lambda spec: build_gold(spark, lake, spec, as_of)),
+        (f"bronze.{name}", [], lambda spec=spec: ingest_bronze(spark, lake, spec))
+        for name, spec in BRONZE.items()
     ]
-    reports = {}
-    for layer, specs, build in steps:
-        with ThreadPoolExecutor(max(1, len(specs))) as pool:
-            built = pool.map(build, specs.values())
-            reports |= {f"{layer}.{name}": report for name, report in zip(specs, built)}
-    return reports
+    for name, spec in silver:
+        needed = [n for source in spec.sources for n in made["bronze", source]]
+        needed += made.get(("silver", spec.table), [])
+        made.setdefault(("silver", spec.table), []).append(f"silver.{name}")
+        steps.append(
+            (f"silver.{name}", needed, lambda spec=spec: refine_silver(spark, lake, spec, as_of))
+        )
+    for name, spec in GOLD.items():
+        needed = [n for source in spec.sources for n in made.get(source, [])]
+        made["gold", spec.table] = [f"gold.{name}"]
+        steps.append((f"gold.{name}", needed, lambda spec=spec: build_gold(spark, lake, spec, as_of)))
+
+    building: dict[str, Future[LayerReport]] = {}
+
+    def build(needed: list[str], step: Callable[[], LayerReport]) -> LayerReport:
+        for name in needed:
+            building[name].result()
+        return step()
+
+    # A thread for each table, so that none waits for one that has not begun.
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for name, needed, step in steps:
+            building[name] = pool.submit(build, needed, step)
+        return {name: report.result() for name, report in building.items()}

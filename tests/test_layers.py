@@ -1,4 +1,5 @@
 import datetime as dt
+import threading
 import uuid
 from dataclasses import replace
 
@@ -19,6 +20,7 @@ from oreworks.plans import (
     ingest_bronze,
     refine_silver,
 )
+from oreworks.plans import tables
 from oreworks.plans.layers import EmptySource
 from oreworks.sinks import MissingTable
 
@@ -52,6 +54,37 @@ def test_every_write_is_reconciled(built):
     assert all(r.written.expected == r.written.actual > 0 for r in built.values())
 
 
+def test_tables_wait_only_for_those_they_need(spark, monkeypatch):
+    order_items, made = threading.Event(), []
+
+    def build(layer):
+        def step(spark, lake, spec, *as_of):
+            if (layer, spec.table) == ("bronze", "sellers"):
+                assert order_items.wait(10)
+            made.append((layer, *getattr(spec, "sources", ())[:1], spec.table))
+            if (layer, spec.table) == ("silver", "order_items"):
+                order_items.set()
+
+        return step
+
+    for layer, name in (("bronze", "ingest_bronze"), ("silver", "refine_silver"), ("gold", "build_gold")):
+        monkeypatch.setattr(tables, name, build(layer))
+    assert len(build_lake(spark, scratch_lake(spark))) == len(made) == 15
+    assert made.index(("silver", "orders", "orders")) < made.index(("silver", "orders_new", "orders"))
+    facts = made.index(("gold", ("silver", "orders"), "fact_orders"))
+    assert made.index(("silver", "orders_new", "orders")) < facts
+
+
+def test_kept_sellers_are_those_of_each_order(spark, tmp_path):
+    plain, kept = Inputs(spark, SF), Inputs(spark, SF)
+    kept.keep_sellers(str(tmp_path / "sold"))
+    for name in ("orders", "orders_new"):
+        made, want = getattr(kept, name)(), getattr(plain, name)()
+        assert made.schema == want.schema
+        assert "lineitem" not in "".join(made.inputFiles())
+        assert made.exceptAll(want).isEmpty() and want.exceptAll(made).isEmpty()
+
+
 def test_keys_are_unique(spark, lake, built):
     for spec in GOLD.values():
         table = gold(spark, lake, spec.table)
