@@ -1,7 +1,10 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 
 from oreworks.llm import words
+from oreworks.llm.substring_dedup import Units
 
 
 def of(text):
@@ -36,3 +39,16 @@ def test_few_words_are_one_shingle():
     assert len(words.shingle_hashes(hashes, 3)) == 1
     assert len(words.shingle_hashes(of("a b c d")[2], 3)) == 2
     assert len(words.shingle_hashes(hashes[:0], 3)) == 0
+
+
+def test_a_step_takes_little_memory():
+    text = b" ".join(b"word%d" % (k % 5000) for k in range(400_000))
+    column = pa.array([text[k : k + 5000].decode() for k in range(0, len(text), 5000)])
+    words._powers.cache_clear()
+    tracemalloc.start()
+    try:
+        for _, bounds, data in words.batched(words.text_bytes(column)):
+            Units(bounds, data).seeds()
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
