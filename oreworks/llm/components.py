@@ -26,25 +26,30 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = tied.select(F.explode(ends).alias("e")).select(
             F.col("e.b").alias("a"), F.col("e.m").alias("b")
         )
-    return out.where("a <> b").distinct()
+    return out.where("a <> b")
 
 
 def _settled(edges: DataFrame) -> bool:
     """Is every node tied to one root, and no root to another?"""
-    roots = edges.select(F.col("b").alias("a"), F.lit(1).alias("n")).distinct()
-    ties = edges.select("a", F.lit(1).alias("n")).union(roots)
-    return ties.groupBy("a").agg(F.sum("n").alias("n")).where("n > 1").isEmpty()
+    tied = edges.select("a", F.lit(1).alias("ties"), F.lit(0).alias("root"))
+    roots = edges.select(F.col("b").alias("a"), F.lit(0).alias("ties"), F.lit(1).alias("root"))
+    n = (F.sum("ties") + F.max("root")).alias("n")
+    return tied.union(roots).groupBy("a").agg(n).where("n > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of the links (a, b): root is the smallest node that it reaches.
 
     Nodes without links are left out, as are links of a node with itself and links with a
-    null. Every step reduces by key before it shuffles, and is cut off from the one before.
+    null. Every step reduces by key before it shuffles, and is cut off from the one before: it
+    reads that twice, and with it all that it was made from. A step gives at most as many rows
+    as it gets, so only the second of two looks for equal ones.
     """
-    now = cut(_star(_star(edges.select("a", "b").where("a <> b").distinct(), True), False))
-    while not _settled(now):
-        now = cut(_star(_star(now, True), False))
+    now = edges.select("a", "b").where("a <> b")
+    settled = False
+    while not settled:
+        now = cut(_star(cut(_star(now, True)), False).distinct())
+        settled = _settled(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

@@ -80,17 +80,6 @@ def _apply(labels: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _mixed(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one group."""
-    mixed = (
-        members.groupBy("key")
-        .agg(F.min("label").alias("x"), F.max("label").alias("y"))
-        .where("x < y")
-        .select("key")
-    )
-    return members.join(mixed, "key")
-
-
 def _star_pairs(members: DataFrame, turns: range, may: MayLink) -> DataFrame:
     """Pairs of each bucket's pivots, one for each turn, with its members."""
 
@@ -168,10 +157,9 @@ def _by_rare_items(nodes: DataFrame, sets: DataFrame, lacking: Lacking) -> DataF
 
 
 def _rest(
-    members: DataFrame, sets: DataFrame, may: MayLink, lacking: Lacking
+    ranked: DataFrame, sets: DataFrame, may: MayLink, lacking: Lacking
 ) -> DataFrame:
     """Pairs that hold every link between groups."""
-    ranked = cut(_ranked(members))
     few = F.col("work") <= FEW_PAIRS
     pairs = _rest_pairs(ranked.where(few), may)
     crowded = ranked.where(~few).select("node", "label", "size", "sketch")
@@ -192,16 +180,24 @@ def group(
     bucket that links two groups is found, so groups are exact if every link has a bucket.
     """
     facts = sets.select("node", "size", "sketch")
-    index = cut(same_members_once(index).join(facts, "node"))
+    index = same_members_once(index).join(facts, "node")
+    members = cut(index.withColumn("label", F.col("node")))
     labels = sets.select("node", F.col("node").alias("label"))
-    members = index.withColumn("label", F.col("node"))
+    ranked = None
     turn = 0
     for round in range(STAR_ROUNDS):
         turns = range(turn, turn + (LATER_PIVOTS if round else FIRST_PIVOTS))
         turn = turns.stop
         links = cut(_verified(_star_pairs(members, turns, may), sets, linked))
-        if not links.isEmpty():
-            labels = _apply(labels, links)
-            members = _mixed(index.join(labels, "node"))
-    links = cut(_verified(_rest(members, sets, may, lacking), sets, linked))
+        if links.isEmpty():
+            continue
+        labels = _apply(labels, links)
+        # A bucket of one group stays one, so only what is left is looked at again.
+        members = members.select("key", "node", "size", "sketch").join(labels, "node")
+        members = ranked = cut(_ranked(members))
+        if ranked.isEmpty():
+            return labels
+    if ranked is None:
+        ranked = cut(_ranked(members))
+    links = cut(_verified(_rest(ranked, sets, may, lacking), sets, linked))
     return labels if links.isEmpty() else _apply(labels, links)

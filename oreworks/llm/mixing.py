@@ -106,11 +106,13 @@ def schedule(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
         .withColumn("point", F.pmod((F.col("id") + 1) * F.lit(GOLDEN), F.lit(1.0)))
         .withColumn("cell", F.floor(F.col("point") * CELLS))
     )
-    placed = points.join(cells, "cell").where("point >= low AND point < high").select(
-        F.col("id").alias("slot"),
-        "number",
-        "quota",
-        F.floor(F.col("id") / SLOTS_TOGETHER).alias("chunk"),
+    placed = cut(
+        points.join(cells, "cell").where("point >= low AND point < high").select(
+            F.col("id").alias("slot"),
+            "number",
+            "quota",
+            F.floor(F.col("id") / SLOTS_TOGETHER).alias("chunk"),
+        )
     )
     earlier = Window.partitionBy("number").orderBy("chunk").rowsBetween(
         Window.unboundedPreceding, -1
@@ -221,7 +223,7 @@ def _mixed(
         "block",
         F.explode(F.sequence(F.floor(F.col("start") / block), F.floor(last / block))),
     )
-    blocks = _blocks(schedule(sources, block), known, block)
+    blocks = cut(_blocks(schedule(sources, block), known, block))
     begins = F.greatest("start", F.col("block") * block)
     ends = F.col("start") + F.col("size")
     words = sum(
