@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreworks.llm import decontamination, jaccard_join, language_id, mixing, substring_dedup
-from oreworks.llm.lineage import cut
+from oreworks.llm.lineage import TOLD, cut, release
 from oreworks.llm.rows import once, same_row, sized, small_batches
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -52,6 +52,7 @@ def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages out of texts; a document of which no word is left goes."""
     small_batches(spark)
+    release(spark, TOLD)  # what the stage before has shuffled
     docs = once(docs)
     found = substring_dedup.find_repeats(docs)
     spans = sized(

@@ -24,11 +24,13 @@ def release(spark: SparkSession, wait: float = 0.0) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, free: bool = True) -> DataFrame:
     """df, computed once and kept in the checkpoint folder that all executors share.
 
     The folder is the session's (spark.checkpoint.dir). Only where none is set, it lies below
-    the warehouse, which is shared as well. What earlier steps have shuffled is then out of use.
+    the warehouse, which is shared as well. What earlier steps have shuffled is then out of use,
+    and freed at once. Small steps that follow each other closely leave that (free=False) to the
+    next one: the driver takes more memory if most of its time goes into collecting garbage.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -36,5 +38,6 @@ def cut(df: DataFrame) -> DataFrame:
         context.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
     done = df.checkpoint(eager=True)
     del df
-    release(spark)
+    if free:
+        release(spark)
     return done

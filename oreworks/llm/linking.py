@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.llm.components import components
+from oreworks.llm.components import ties
 from oreworks.llm.hot import meet
 from oreworks.llm.lineage import cut
 
@@ -72,7 +72,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, linked: Linked) -> DataFrame:
 
 def _apply(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after joining linked groups."""
-    roots = components(links)
+    roots = ties(links)
     return cut(
         labels.join(roots, labels["label"] == roots["node"], "left").select(
             labels["node"], F.coalesce("root", "label").alias("label")

@@ -532,12 +532,12 @@ def find_repeats(
         .groupBy("row")
         .agg(F.collect_list(F.struct("kind", "at", "kept", "hash")).alias("marks"))
     )
-    marks = cut(marks)
     line_marks = cut(
         _near_lines(units, source)
         .groupBy("row")
         .agg(F.collect_list(F.struct("at", "kept")).alias("line_marks"))
     )
+    marks = cut(marks)
     seeded = marks.where(F.exists("marks", lambda m: m["kind"] == SEED))
     extents = cut(
         _extents(seeded.join(units.select("row", "id", "text_key"), "row"), units, source)
